@@ -302,17 +302,17 @@ def q_s2_sensor_csv(spark, d):
 
 
 # ------------------------------------------------------------------ SQL
-SENSOR_A = """SELECT user_id AS pid, epoch_ms(ts) AS time_ms, value AS x,
+SENSOR_A = """SELECT user_id AS pid, CAST(floor(epoch_us(ts) / 1000.0) AS BIGINT) AS time_ms, value AS x,
   CAST(json_extract_string(props, '$.k') AS DOUBLE) AS y,
   CAST(event_id % 100 AS DOUBLE) / 10 AS z, event_id FROM events"""
-SENSOR_B = """SELECT l_suppkey AS pid, epoch_ms(l_shipdate) AS time_ms, l_quantity AS x,
+SENSOR_B = """SELECT l_suppkey AS pid, CAST(floor(epoch_us(l_shipdate) / 1000.0) AS BIGINT) AS time_ms, l_quantity AS x,
   l_discount AS y, l_tax AS z FROM lineitem"""
-SENSOR_BC = """SELECT o.o_custkey AS pid, epoch_ms(l.l_shipdate) AS time_ms, l.l_quantity AS x,
+SENSOR_BC = """SELECT o.o_custkey AS pid, CAST(floor(epoch_us(l.l_shipdate) / 1000.0) AS BIGINT) AS time_ms, l.l_quantity AS x,
   l.l_discount AS y, l.l_tax AS z FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""
-READ_A = """SELECT user_id AS pid, CAST(floor(epoch_ms(ts) / 1000.0) AS BIGINT) AS rts,
+READ_A = """SELECT user_id AS pid, CAST(floor(epoch_us(ts) / 1000000.0) AS BIGINT) AS rts,
   arg_max(value / 500.0, event_id) AS TAC_Reading FROM events
   WHERE event_type = 'purchase' AND user_id IS NOT NULL GROUP BY 1, 2"""
-READ_O = """SELECT o_custkey AS pid, CAST(floor(epoch_ms(o_orderdate) / 1000.0) AS BIGINT) AS rts,
+READ_O = """SELECT o_custkey AS pid, CAST(floor(epoch_us(o_orderdate) / 1000000.0) AS BIGINT) AS rts,
   arg_max(o_totalprice / 1e6, o_orderkey) AS TAC_Reading FROM orders
   WHERE o_custkey IS NOT NULL GROUP BY 1, 2"""
 
@@ -365,7 +365,7 @@ SQL_CLASS_COUNTS = f"""SELECT 'is_intoxicated' AS target, 'false' AS category,
 UNION ALL SELECT 'is_intoxicated', 'true',
   CAST(count(*) FILTER (WHERE is_intoxicated) AS BIGINT) FROM ({FEATS_A})"""
 
-LOG = """SELECT ts, epoch_ms(ts) AS timestamp, value / 500.0 >= 0.08 AS is_intoxicated, event_id,
+LOG = """SELECT ts, CAST(floor(epoch_us(ts) / 1000.0) AS BIGINT) AS timestamp, value / 500.0 >= 0.08 AS is_intoxicated, event_id,
   value / 50.0 AS latency_s, event_type AS kind FROM events"""
 
 LATEST = f"SELECT * FROM ({LOG}) ORDER BY timestamp DESC, event_id DESC LIMIT {C.LIVE_ROWS}"
@@ -426,7 +426,7 @@ SELECT g.run_name, CASE WHEN nu > 1 THEN NULL WHEN nu = 1 THEN open_run ELSE f.r
   CASE WHEN nu > 1 THEN 'multiple_unfinished' WHEN nu = 1 THEN 'unfinished' ELSE 'finished' END AS status
 FROM g LEFT JOIN f ON g.run_name = f.run_name"""
 
-SQL_W3 = f"""SELECT run_name, run_id, CAST(epoch_ms(end_time) / 1000 AS BIGINT) AS end_s FROM (
+SQL_W3 = f"""SELECT run_name, run_id, CAST(floor(epoch_us(end_time) / 1000000.0) AS BIGINT) AS end_s FROM (
   SELECT *, row_number() OVER (PARTITION BY run_name ORDER BY end_time DESC NULLS FIRST, run_id DESC) AS rn
   FROM ({REG})) WHERE rn = 1"""
 
@@ -435,7 +435,7 @@ WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)"""
 
 SQL_P11 = f"SELECT run_id, run_name FROM ({REG}) WHERE end_time IS NULL"
 
-SQL_A14 = f"""SELECT run_name, CAST(epoch_ms(max(end_time)) / 1000 AS BIGINT) AS last_end_s
+SQL_A14 = f"""SELECT run_name, CAST(floor(epoch_us(max(end_time)) / 1000000.0) AS BIGINT) AS last_end_s
 FROM ({REG}) GROUP BY 1"""
 
 SQL_A9 = f"""SELECT CASE WHEN is_intoxicated THEN 'true' WHEN NOT is_intoxicated THEN 'false' END AS pred,
@@ -453,7 +453,7 @@ SQL_A11 = "SELECT count(*) FILTER (WHERE event_type = 'signup') AS cnt FROM even
 HTTP = """SELECT ts, CASE WHEN event_type = 'error' THEN '500' ELSE '200' END AS code,
   'scoring-api' AS job, CAST(user_id % 4 AS VARCHAR) AS instance FROM events"""
 
-RATES = f"""SELECT job, instance, CAST(floor(floor(epoch_ms(ts) / 1000.0) / {HOUR}) * {HOUR} AS BIGINT) AS window_start_s,
+RATES = f"""SELECT job, instance, CAST(floor(floor(epoch_us(ts) / 1000000.0) / {HOUR}) * {HOUR} AS BIGINT) AS window_start_s,
   count(*) AS errors, count(*) / {float(HOUR)!r} AS rate
 FROM ({HTTP}) WHERE NOT regexp_full_match(code, '200') GROUP BY 1, 2, 3"""
 
@@ -471,13 +471,13 @@ UNION ALL SELECT 'request_count', NULL, NULL, round(CAST(count(latency_s) AS DOU
 SQL_F7 = f"""SELECT page_id, string_split(url, '/')[-1] AS base_name,
   regexp_extract(string_split(url, '/')[-1], '{C.KEY_PATTERN}', 1) AS pid FROM pages"""
 
-SQL_S1 = """SELECT CAST(floor(epoch_ms(ts) / 1000.0) AS BIGINT) AS timestamp, value / 500.0 AS TAC_Reading,
+SQL_S1 = """SELECT CAST(floor(epoch_us(ts) / 1000000.0) AS BIGINT) AS timestamp, value / 500.0 AS TAC_Reading,
   'AB' || lpad(CAST(user_id AS VARCHAR), 4, '0') AS pid FROM events WHERE event_type = 'purchase'"""
 
 SQL_S2 = f"""SELECT CAST(pid AS VARCHAR) AS pid, window_start_s, round(x, 6) AS x, round(y, 6) AS y,
   round(z, 6) AS z FROM ({WIN_A})"""
 
-SQL_S8 = "SELECT CAST(event_id AS VARCHAR) AS row, epoch_ms(ts) AS timestamp, value / 500.0 >= 0.08 AS is_intoxicated FROM events"
+SQL_S8 = "SELECT CAST(event_id AS VARCHAR) AS row, CAST(floor(epoch_us(ts) / 1000.0) AS BIGINT) AS timestamp, value / 500.0 >= 0.08 AS is_intoxicated FROM events"
 
 SQL_S9 = f"""SELECT time_ms AS time, x, y, z, round(x * x + y * y + z * z, 6) AS energy,
   round(sqrt(x * x + y * y + z * z), 6) AS magnitude FROM ({SENSOR_A})"""
