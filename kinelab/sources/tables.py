@@ -19,7 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def sensor_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sensor samples A: pid, time_ms, x, y, z (+ event_id for ordering)."""
-    ev = table(spark, sf_dir, "events")
+    return sensor_from_events(table(spark, sf_dir, "events"))
+
+
+def sensor_from_events(ev: DataFrame) -> DataFrame:
+    """Binding of an events frame (batch or stream) to sensor samples; keeps ts."""
     return ev.select(
         F.col("user_id").alias(C.KEY),
         epoch_ms("ts").alias(C.TIME_MS),
@@ -27,6 +31,7 @@ def sensor_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         json_field("props", "k").alias("y"),
         ((F.col("event_id") % 100) / F.lit(10.0)).alias("z"),
         F.col("event_id"),
+        F.col("ts").cast("timestamp").alias("ts"),
     )
 
 
@@ -75,7 +80,10 @@ def readings_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scored_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored log: timestamp (ms), is_intoxicated, event_id, latency_s, kind."""
-    ev = table(spark, sf_dir, "events")
+    return scored_from_events(table(spark, sf_dir, "events"))
+
+
+def scored_from_events(ev: DataFrame) -> DataFrame:
     return ev.select(
         epoch_ms("ts").alias("timestamp"),
         ((F.col("value") / F.lit(500.0)) >= F.lit(C.LABEL_THRESHOLD)).alias(C.LABEL),
@@ -88,7 +96,10 @@ def scored_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def http_log(spark: SparkSession, sf_dir: str, job: str = "scoring-api") -> DataFrame:
     """HTTP log: ts, code (500 for error events, else 200), job, instance."""
-    ev = table(spark, sf_dir, "events")
+    return http_from_events(table(spark, sf_dir, "events"), job)
+
+
+def http_from_events(ev: DataFrame, job: str = "scoring-api") -> DataFrame:
     return ev.select(
         F.col("ts").cast("timestamp").alias("ts"),
         F.when(F.col("event_type") == "error", F.lit("500")).otherwise(F.lit("200")).alias("code"),

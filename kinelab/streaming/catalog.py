@@ -1,2 +1,115 @@
-STREAM_QUERIES = {}
-STREAM_SQL = {}
+"""Registered streaming queries: each drains its stream with ``availableNow``
+into the shared checkpoint folder and returns the sink table.
+
+Append-mode windows are emitted once the watermark (max event time minus
+the delay) reaches the window end; the oracle SQL keeps the same windows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from kinelab import config as C
+from kinelab.operators import drift
+from kinelab.plans import catalog as cat
+from kinelab.session import scratch_path
+from kinelab.sources import tables as tb
+from kinelab.sources.telemetry import requests_as_json
+from kinelab.streaming import jobs
+
+DELAY_S = 3_600
+DELAY = f"{DELAY_S} seconds"
+
+
+def _events_stream(spark, d):
+    return jobs.table_stream(spark, d, "events")
+
+
+def q_st1_window_mean(spark, d):
+    root = scratch_path(spark, "st1")
+    s = tb.sensor_from_events(_events_stream(spark, d))
+    jobs.run_available(jobs.window_means(s, cat.DAY, DELAY), f"{root}/out", f"{root}/ck")
+    return cat._windows_out(spark.read.parquet(f"{root}/out"))
+
+
+def q_st2_stream_asof(spark, d):
+    root = scratch_path(spark, "st2")
+    s = tb.sensor_from_events(_events_stream(spark, d))
+    windows = jobs.window_means(s, cat.DAY, DELAY)
+    jobs.run_foreach(windows, jobs.asof_labeller(tb.readings_events(spark, d), f"{root}/out"),
+                     f"{root}/ck")
+    return cat._asof_out(spark.read.parquet(f"{root}/out").drop("batch_id"))
+
+
+def q_st4_stream_drift(spark, d):
+    root = scratch_path(spark, "st4")
+    log = tb.scored_from_events(_events_stream(spark, d))
+    ref = cat._reference_counts(spark, d)
+    jobs.run_foreach(log, jobs.drift_monitor(ref, f"{root}/log", f"{root}/psi"), f"{root}/ck")
+    psi = spark.read.parquet(f"{root}/psi")
+    last = psi.agg(F.max("batch_id").alias("batch_id"))
+    return psi.join(F.broadcast(last), "batch_id").select("target", cat.r6("psi").alias("psi"))
+
+
+def q_st5_stream_pred_counts(spark, d):
+    root = scratch_path(spark, "st5")
+    log = tb.scored_from_events(_events_stream(spark, d))
+    jobs.run_foreach(jobs.prediction_counter(log), jobs.overwrite_writer(f"{root}/out"),
+                     f"{root}/ck", mode="complete")
+    return spark.read.parquet(f"{root}/out")
+
+
+def q_st6_stream_error_rate(spark, d):
+    root = scratch_path(spark, "st6")
+    http = tb.http_from_events(_events_stream(spark, d))
+    jobs.run_available(jobs.error_windows(http, cat.HOUR, DELAY), f"{root}/out", f"{root}/ck")
+    out = spark.read.parquet(f"{root}/out")
+    return out.select("job", "instance", "window_start_s", "errors", cat.r6("rate").alias("rate"))
+
+
+def q_st3_stream_scoring(spark, d):
+    """Requests written as JSON lines, streamed, scored with the fitted forest."""
+    from kinelab.plans.ml_catalog import fitted_model
+    root = scratch_path(spark, "st3")
+    s = tb.sensor_events(spark, d)
+    req = s.select(F.col(C.TIME_MS).alias("time"), "x", "y", "z",
+                   F.lit(0.0).alias("energy"), F.lit(0.0).alias("magnitude"))
+    requests_as_json(req).write.mode("overwrite").text(f"{root}/requests")
+    stream = spark.readStream.text(f"{root}/requests")
+    jobs.run_available(jobs.scoring(stream, fitted_model(spark, d)), f"{root}/out", f"{root}/ck")
+    return spark.read.parquet(f"{root}/out")
+
+
+def _closed(end_us: str) -> str:
+    return (f"{end_us} <= (SELECT floor(max(epoch_us(ts)) / 1000) * 1000 FROM events)"
+            f" - {DELAY_S * 1_000_000}")
+
+
+SQL_ST1 = f"""SELECT pid, window_start_s, round(x, 6) AS x, round(y, 6) AS y, round(z, 6) AS z
+FROM ({cat.WIN_A}) WHERE {_closed(f"(window_start_s + {cat.DAY}) * 1000000")}"""
+
+SQL_ST2 = f"""WITH w AS (SELECT * FROM ({cat.WIN_A}) WHERE {_closed(f"(window_start_s + {cat.DAY}) * 1000000")}),
+r AS ({cat.READ_A})
+SELECT w.pid, w.window_start_s, round(w.x, 6) AS x, round(w.y, 6) AS y, round(w.z, 6) AS z,
+  round(r.TAC_Reading, 6) AS TAC_Reading
+FROM w ASOF LEFT JOIN r ON w.pid = r.pid AND w.window_start_s >= r.rts"""
+
+SQL_ST6 = f"""SELECT job, instance, window_start_s, errors, round(rate, 6) AS rate FROM ({cat.RATES})
+WHERE rate > 0 AND {_closed(f"(window_start_s + {cat.HOUR}) * 1000000")}"""
+
+STREAM_QUERIES = {
+    "st1_stream_window_mean": q_st1_window_mean,
+    "st2_stream_asof": q_st2_stream_asof,
+    "st3_stream_scoring": q_st3_stream_scoring,
+    "st4_stream_drift": q_st4_stream_drift,
+    "st5_stream_pred_counts": q_st5_stream_pred_counts,
+    "st6_stream_error_rate": q_st6_stream_error_rate,
+}
+
+STREAM_SQL = {
+    "st1_stream_window_mean": SQL_ST1,
+    "st2_stream_asof": SQL_ST2,
+    "st4_stream_drift": cat.SQL_PSI,
+    "st5_stream_pred_counts": cat.SQL_A9,
+    "st6_stream_error_rate": SQL_ST6,
+}
