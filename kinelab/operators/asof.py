@@ -20,7 +20,8 @@ Spark has no public as-of operator, so three plans rewrite it:
   tail table. No task holds more than one bucket of one key.
 
 ``auto`` counts the right side and uses ``broadcast`` only when the count
-(times the explode bound) is under the limit, ``bucketed`` otherwise.
+(times the explode bound) is under the limit, ``bucketed`` otherwise. The
+time bucket defaults to the readings' span per reading of a key.
 """
 
 from __future__ import annotations
@@ -39,12 +40,14 @@ def dedupe_readings(right: DataFrame, by: str, t: str, values: Sequence[str],
 
     Grouping on (key, time) spreads a hot key over many groups.
     """
-    vals = F.struct(*[F.col(v) for v in values])
-    pick = F.max_by(vals, F.col(tiebreak)) if tiebreak else F.max(vals)
-    return (right
-            .where(F.col(by).isNotNull() & F.col(t).isNotNull())
-            .groupBy(F.col(by).alias("_k"), F.col(t).alias("_rt"))
-            .agg(pick.alias("_r")))
+    base = (right.where(F.col(by).isNotNull() & F.col(t).isNotNull())
+            .groupBy(F.col(by).alias("_k"), F.col(t).alias("_rt")))
+    if tiebreak:
+        # One max_by per value column keeps fixed-width buffers, so the
+        # dedupe runs as a hash aggregate (a struct buffer forces a sort).
+        out = base.agg(*[F.max_by(F.col(v), F.col(tiebreak)).alias(v) for v in values])
+        return out.select("_k", "_rt", F.struct(*[F.col(v) for v in values]).alias("_r"))
+    return base.agg(F.max(F.struct(*[F.col(v) for v in values])).alias("_r"))
 
 
 def _bucket(c, bucket_s: float):
@@ -115,7 +118,18 @@ def asof_union(left: DataFrame, right: DataFrame, by: str, left_t: str, right_t:
 def asof_bucketed(left: DataFrame, right: DataFrame, by: str, left_t: str, right_t: str,
                   values: Sequence[str], tiebreak: str | None = None,
                   bucket_s: float = C.ASOF_BUCKET_SECONDS) -> DataFrame:
-    """Plan C: Plan B inside (key, bucket), then carry-in across buckets."""
+    """Plan C: Plan B inside (key, bucket), then a carry-in across buckets.
+
+    The carry-in tables come from the readings alone, so the (big) left
+    side is scanned and sorted once:
+
+    * ``gaps``: for each bucket after a key's first non-empty bucket up to
+      its last one, the newest reading of the earlier buckets. It has one
+      row per bucket of each key's reading span (bounded by the time span,
+      not by the row count) and is keyed like the window's partitioning.
+    * ``last``: one row per key with its last non-empty bucket and newest
+      reading, for left rows after the key's last reading.
+    """
     r = dedupe_readings(right, by, right_t, values, tiebreak)
     u = _union_sides(left, r, by, left_t).withColumn("_b", _bucket(F.col("_t"), bucket_s))
     w1 = (Window.partitionBy("_k", "_b").orderBy("_t", "_side")
@@ -123,45 +137,74 @@ def asof_bucketed(left: DataFrame, right: DataFrame, by: str, left_t: str, right
     u = u.withColumn("_c", F.last("_r", ignorenulls=True).over(w1))
     lpart = u.where(F.col("_side") == 1).select("_k", "_b", "_l", "_c")
 
-    # Newest reading of each (key, bucket): one row per non-empty bucket.
+    # Newest reading of each non-empty (key, bucket).
     tails = (r.withColumn("_b", _bucket(F.col("_rt"), bucket_s))
              .groupBy("_k", "_b").agg(F.max_by("_r", "_rt").alias("_tail")))
-    # Buckets whose left rows found no reading inside the bucket.
-    need = (lpart.where(F.col("_c").isNull() & F.col("_k").isNotNull() & F.col("_b").isNotNull())
-            .select("_k", "_b").distinct())
-    tail_type = tails.schema["_tail"].dataType
-    x = (need.select("_k", "_b", F.lit(0).alias("_s"), F.lit(None).cast(tail_type).alias("_tail"))
-         .unionByName(tails.select("_k", "_b", F.lit(1).alias("_s"), "_tail")))
-    # Requests sort before the tail of their own bucket, so only earlier
-    # buckets are carried in. One row per bucket per key: a small table.
-    w2 = (Window.partitionBy("_k").orderBy("_b", "_s")
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    carry = (x.withColumn("_in", F.last("_tail", ignorenulls=True).over(w2))
-             .where(F.col("_s") == 0).select("_k", "_b", "_in"))
-    out = (lpart.join(carry, on=["_k", "_b"], how="left")
-           .select("_l", F.coalesce(F.col("_c"), F.col("_in")).alias("_v")))
+    nxt = tails.withColumn("_nb", F.lead("_b").over(Window.partitionBy("_k").orderBy("_b")))
+    gaps = (nxt.where(F.col("_nb").isNotNull())
+            .select("_k", F.explode(F.sequence(F.col("_b") + 1, F.col("_nb"))).alias("_b"),
+                    F.col("_tail").alias("_in")))
+    last = nxt.where(F.col("_nb").isNull()).select(
+        "_k", F.col("_b").alias("_lastb"), F.col("_tail").alias("_lastv"))
+    out = (lpart.join(gaps, on=["_k", "_b"], how="left")
+           .join(last, on="_k", how="left")
+           .select("_l", F.coalesce(
+               F.col("_c"), F.col("_in"),
+               F.when(F.col("_b") > F.col("_lastb"), F.col("_lastv"))).alias("_v")))
     return _expand(out, left.columns, values)
 
 
+def reading_stats(right: DataFrame, by: str, right_t: str) -> dict:
+    """One small aggregate over the right side: rows, keys (approx.), time span."""
+    row = (right.where(F.col(by).isNotNull() & F.col(right_t).isNotNull())
+           .agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(by).alias("keys"),
+                F.min(right_t).alias("lo"), F.max(right_t).alias("hi"))).first()
+    return row.asDict()
+
+
+def auto_bucket(stats: dict, min_bucket: float = C.ASOF_MIN_BUCKET_SECONDS) -> float:
+    """Bucket width giving about one reading per key and bucket.
+
+    Narrower buckets spread a hot key over more tasks; wider ones keep the
+    carry-in tables (one row per bucket of each key's span) small. The
+    reading density sets the balance.
+    """
+    n, keys = stats.get("n") or 0, max(stats.get("keys") or 1, 1)
+    if not n or stats.get("lo") is None:
+        return float(C.ASOF_BUCKET_SECONDS)
+    span = float(stats["hi"] - stats["lo"]) or 1.0
+    per_key = max(n / keys, 1.0)
+    return max(float(min_bucket), span / per_key)
+
+
 def choose_plan(right: DataFrame, by: str, right_t: str,
                 broadcast_max_rows: int = C.ASOF_BROADCAST_MAX_ROWS,
-                max_explode: int = C.ASOF_MAX_EXPLODE) -> str:
+                max_explode: int = C.ASOF_MAX_EXPLODE, stats: dict | None = None) -> str:
     """Size check for Plan A: the broadcast holds at most max_explode rows per reading."""
-    n = right.where(F.col(by).isNotNull() & F.col(right_t).isNotNull()).count()
+    n = (stats or reading_stats(right, by, right_t))["n"]
     return "broadcast" if n * max_explode <= broadcast_max_rows else "bucketed"
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: str, left_t: str, right_t: str,
               values: Sequence[str], tiebreak: str | None = None, plan: str = "auto",
-              bucket_s: float = C.ASOF_BUCKET_SECONDS,
+              bucket_s: float | None = None,
               broadcast_max_rows: int = C.ASOF_BROADCAST_MAX_ROWS,
               max_explode: int = C.ASOF_MAX_EXPLODE) -> DataFrame:
-    """Backward as-of left join; output = left columns + ``values``."""
+    """Backward as-of left join; output = left columns + ``values``.
+
+    ``bucket_s=None`` sizes the time bucket from the readings' density.
+    Both ``auto`` choices need one small aggregate over the right side.
+    """
     clash = set(values) & set(left.columns)
     if clash:
         raise ValueError(f"value columns already on the left side: {sorted(clash)}")
+    stats = None
+    if plan == "auto" or (bucket_s is None and plan in ("broadcast", "bucketed")):
+        stats = reading_stats(right, by, right_t)
     if plan == "auto":
-        plan = choose_plan(right, by, right_t, broadcast_max_rows, max_explode)
+        plan = choose_plan(right, by, right_t, broadcast_max_rows, max_explode, stats)
+    if bucket_s is None:
+        bucket_s = auto_bucket(stats) if stats else float(C.ASOF_BUCKET_SECONDS)
     if plan == "broadcast":
         return asof_broadcast(left, right, by, left_t, right_t, values, tiebreak,
                               bucket_s, max_explode)

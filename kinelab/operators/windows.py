@@ -25,3 +25,20 @@ def tumbling_mean(samples: DataFrame, size_s: int = C.WINDOW_SECONDS,
             .where(F.col(key).isNotNull() & F.col(time_col).isNotNull())
             .groupBy(F.col(key), window_start(time_col, size_s).alias(C.WINDOW_START))
             .agg(*[F.avg(nan_to_null(c)).alias(c) for c in value_cols]))
+
+
+def sort_readings(readings: DataFrame, key: str = C.KEY, time_col: str = C.READING_TIME) -> DataFrame:
+    """Readings ordered by (key, time) for output (a range-partitioned sort).
+
+    Joins never need it: they sort or hash on their own keys.
+    """
+    return readings.orderBy(F.col(key), F.col(time_col))
+
+
+def union_aligned(frames) -> DataFrame:
+    """Union by column name; a column missing from a frame becomes NULL."""
+    frames = list(frames)
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out

@@ -23,7 +23,7 @@ from kinelab.sources.telemetry import save_state
 
 def labelled_windows(samples: DataFrame, readings: DataFrame, size_s: int = C.WINDOW_SECONDS,
                      plan: str = "auto", tiebreak: str | None = "tiebreak",
-                     bucket_s: float = C.ASOF_BUCKET_SECONDS) -> DataFrame:
+                     bucket_s: float | None = None) -> DataFrame:
     """A1 -> J1 -> P6: (time BIGINT window start s, x, y, z, TAC_Reading, pid)."""
     windows = tumbling_mean(samples, size_s)
     if tiebreak and tiebreak not in readings.columns:

@@ -72,14 +72,16 @@ def window_means(samples: DataFrame, size_s: int = C.WINDOW_SECONDS, delay: str
 
 # ------------------------------------------------------------------- ST2
 def asof_labeller(readings: DataFrame, path: str, tiebreak: str | None = "tiebreak",
-                  bucket_s: float = C.ASOF_BUCKET_SECONDS) -> Callable[[DataFrame, int], None]:
+                  bucket_s: float | None = None) -> Callable[[DataFrame, int], None]:
     """ST2: label each micro-batch of closed windows against static readings.
 
     The readings' size is checked once here (Plan A needs a bounded side);
     each batch then runs the broadcast interval join, or Plan C beyond it.
     """
-    from kinelab.operators.asof import choose_plan
-    plan = choose_plan(readings, C.KEY, C.READING_TIME)
+    from kinelab.operators.asof import auto_bucket, choose_plan, reading_stats
+    stats = reading_stats(readings, C.KEY, C.READING_TIME)
+    plan = choose_plan(readings, C.KEY, C.READING_TIME, stats=stats)
+    bucket_s = bucket_s or auto_bucket(stats)
 
     def label(batch: DataFrame, batch_id: int) -> None:
         out = asof_join(batch, readings, C.KEY, C.WINDOW_START, C.READING_TIME, [C.READING],
@@ -97,21 +99,49 @@ def scoring(requests: DataFrame, model, keep: Sequence[str] = ("time",)) -> Data
 
 # ------------------------------------------------------------------- ST4
 def drift_monitor(train_counts: DataFrame, log_path: str, psi_path: str,
-                  n: int = C.LIVE_ROWS) -> Callable[[DataFrame, int], None]:
-    """ST4: append the batch to the scored-log table, then PSI of the table's latest n.
-
-    A micro-batch alone is not the latest n, so T3 runs on the table.
+                  n: int = C.LIVE_ROWS, latest_path: str | None = None
+                  ) -> Callable[[DataFrame, int], None]:
+    """ST4: append the batch to the scored-log table, then PSI of the latest n rows.
+
+    A micro-batch alone is not the latest n. Instead of re-sorting the whole
+    log each trigger, the latest n rows are kept as a small state table:
+    latest(log + batch) = latest(previous latest + batch). Each batch writes
+    its own state folder, so a replayed batch reads the same previous state.
     """
+    latest_path = latest_path or f"{psi_path}_latest"
+
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
-        table = spark.read.parquet(log_path)
-        latest = drift.latest_n(table, n)
+        cand = batch
+        prev = _previous_state(spark, latest_path, batch_id)
+        if prev is not None:
+            cand = prev.unionByName(batch)
+        top = drift.latest_n(cand, n, require_full=False)
+        top.write.mode("overwrite").parquet(f"{latest_path}/b={batch_id}")
+        latest = drift.latest_n(spark.read.parquet(f"{latest_path}/b={batch_id}"), n)
         (drift.psi(train_counts, latest).withColumn("batch_id", F.lit(batch_id))
          .write.mode("overwrite").parquet(f"{psi_path}/b={batch_id}"))
     return step
 
 
+def _previous_state(spark: SparkSession, root: str, batch_id: int) -> DataFrame | None:
+    """The newest state folder written by an earlier batch (at most n rows)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    ids = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("b=") and int(name[2:]) < batch_id:
+            ids.append(int(name[2:]))
+    if not ids:
+        return None
+    return spark.read.parquet(f"{root}/b={max(ids)}")
+
+
 # ------------------------------------------------------------------- ST5
 def prediction_counter(scored: DataFrame, pred: str = C.LABEL) -> DataFrame:
     """ST5: running count per predicted class (complete mode; two keys of state)."""

@@ -39,3 +39,12 @@ def test_duplicates_kept(spark):
     rows = [("A", 0, 1.0, 1.0, 1.0), ("A", 0, 1.0, 1.0, 1.0), ("A", 0, 4.0, 1.0, 1.0)]
     r = tumbling_mean(spark.createDataFrame(rows, SCHEMA), 10).collect()[0]
     assert r.x == 2.0
+
+
+def test_sort_and_union_aligned(spark):
+    from kinelab.operators.windows import sort_readings, union_aligned
+    a = spark.createDataFrame([("B", 2, 0.1), ("A", 5, 0.2), ("A", 1, 0.3)], "pid string, timestamp bigint, TAC_Reading double")
+    assert [(r.pid, r.timestamp) for r in sort_readings(a).collect()] == [("A", 1), ("A", 5), ("B", 2)]
+    b = spark.createDataFrame([("C", 3)], "pid string, timestamp bigint")
+    u = union_aligned([a, b])
+    assert u.count() == 4 and u.where("pid = 'C'").collect()[0].TAC_Reading is None
