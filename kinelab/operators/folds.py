@@ -7,9 +7,9 @@ fold i receives the positions j in that range with j mod k == i. Within a
 class, rows keep their order and fill fold 0 first, then fold 1, ...
 
 Row order is a total order given by ``(key, time, tiebreak...)``. The rank
-of a row inside its class is computed without a one-partition window:
-counts per (label, key, time bucket) -> prefix sums on that small table ->
-row_number inside each (label, key, bucket) group.
+of a row inside its class is computed without a one-partition window over
+the rows: counts per (label, key, time bucket) -> prefix sums over keys and
+over each key's buckets -> row_number inside each (label, key, bucket).
 """
 
 from __future__ import annotations
@@ -22,17 +22,31 @@ from pyspark.sql import functions as F
 from kinelab import config as C
 
 
-def class_rank(df: DataFrame, label: str, key: str, time_col: str,
-               tiebreak: Sequence[str] = (), bucket_s: float = C.FOLD_BUCKET_SECONDS,
-               time_per_s: float = 1.0) -> DataFrame:
-    """Adds ``_rank``: 0-based position of the row among rows of its class."""
-    b = F.floor(F.col(time_col) / F.lit(float(bucket_s) * time_per_s))
-    d = df.withColumn("_fb", b)
-    groups = d.groupBy(label, key, "_fb").agg(F.count(F.lit(1)).alias("_gn"))
-    # One row per (label, key, bucket); the window runs on this small table.
-    wo = (Window.partitionBy(label).orderBy(key, "_fb")
-          .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = groups.withColumn("_off", F.coalesce(F.sum("_gn").over(wo), F.lit(0))).drop("_gn")
+def _groups(d: DataFrame, label: str, key: str, order: Sequence[str]) -> DataFrame:
+    """Counts per (label, key, bucket) with each group's first row in order."""
+    first = F.struct(*[F.col(c) for c in order])
+    return d.groupBy(label, key, "_fb").agg(F.count(F.lit(1)).alias("_gn"),
+                                            F.min(first).alias("_gfirst"))
+
+
+def class_rank(d: DataFrame, groups: DataFrame, label: str, key: str, time_col: str,
+               tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Adds ``_rank``: 0-based position of the row among rows of its class.
+
+    ``d`` carries the time bucket ``_fb``; ``groups`` is ``_groups(d)``.
+    """
+    # Two-level prefix sum on the count tables: keys in order within a
+    # label (one row per key), then buckets in order within a key (one row
+    # per bucket of that key's span). No window sees the raw rows.
+    before = Window.unboundedPreceding
+    per_key = groups.groupBy(label, key).agg(F.sum("_gn").alias("_kn"))
+    key_off = per_key.withColumn(
+        "_koff", F.coalesce(F.sum("_kn").over(
+            Window.partitionBy(label).orderBy(key).rowsBetween(before, -1)), F.lit(0))).drop("_kn")
+    offsets = (groups.withColumn("_boff", F.coalesce(F.sum("_gn").over(
+        Window.partitionBy(label, key).orderBy("_fb").rowsBetween(before, -1)), F.lit(0)))
+        .join(key_off, on=[label, key])
+        .select(label, key, "_fb", (F.col("_koff") + F.col("_boff")).alias("_off")))
     order = [F.col(time_col)] + [F.col(c) for c in tiebreak]
     wr = Window.partitionBy(label, key, "_fb").orderBy(*order)
     ranked = d.withColumn("_rn", F.row_number().over(wr))
@@ -41,14 +55,13 @@ def class_rank(df: DataFrame, label: str, key: str, time_col: str,
             .drop("_fb", "_rn", "_off"))
 
 
-def fold_table(df: DataFrame, label: str, key: str, time_col: str,
-               tiebreak: Sequence[str] = (), k: int = C.NUM_FOLDS) -> DataFrame:
+def fold_table(groups: DataFrame, label: str, key: str, k: int = C.NUM_FOLDS) -> DataFrame:
     """(label, fold, lo, hi): class rows with lo <= rank < hi go to ``fold``.
 
-    Size is classes x k rows.
+    Built from the group-count table; size is classes x k rows.
     """
-    first = F.struct(*[F.col(c) for c in (key, time_col, *tiebreak)])
-    classes = df.groupBy(label).agg(F.min(first).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    first = F.struct(F.col(key), F.col("_fb"), F.col("_gfirst"))
+    classes = groups.groupBy(label).agg(F.min(first).alias("_first"), F.sum("_gn").alias("_n"))
     # Classes in order of first appearance; start of each class in the
     # label-sorted sequence (a window over the few classes).
     wc = Window.orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)
@@ -70,9 +83,12 @@ def stratified_folds(df: DataFrame, label: str = C.LABEL, key: str = C.KEY,
                      k: int = C.NUM_FOLDS, bucket_s: float = C.FOLD_BUCKET_SECONDS,
                      time_per_s: float = 1.0) -> DataFrame:
     """Adds ``fold`` (0..k-1) to every row with a non-NULL label."""
-    d = df.where(F.col(label).isNotNull())
-    ranked = class_rank(d, label, key, time_col, tiebreak, bucket_s, time_per_s)
-    folds = F.broadcast(fold_table(d, label, key, time_col, tiebreak, k).alias("f"))
+    cols = df.columns
+    d = (df.where(F.col(label).isNotNull())
+         .withColumn("_fb", F.floor(F.col(time_col) / F.lit(float(bucket_s) * time_per_s))))
+    groups = _groups(d, label, key, [time_col, *tiebreak])
+    ranked = class_rank(d, groups, label, key, time_col, tiebreak)
+    folds = F.broadcast(fold_table(groups, label, key, k).alias("f"))
     j = ranked.join(folds, (ranked[label] == F.col(f"f.{label}"))
                     & (F.col("_rank") >= F.col("f.lo")) & (F.col("_rank") < F.col("f.hi")))
-    return j.select(*[ranked[c] for c in d.columns], F.col("f.fold").cast("int").alias("fold"))
+    return j.select(*[ranked[c] for c in cols], F.col("f.fold").cast("int").alias("fold"))

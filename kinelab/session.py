@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -37,6 +36,9 @@ def get_session(master: str | None = None, app: str = "kinelab",
     return spark
 
 
+_LOCAL_ROOTS: dict[int, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -44,20 +46,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     file system; we only pick our own folder when it is unset (tests).
     """
     sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
-    current = sc.getCheckpointDir()
-    if current:
-        return os.path.dirname(current.replace("file:", "")) if current.startswith(
-            "file:") else current.rsplit("/", 1)[0]
-    local = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    sc.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    key = id(sc)
+    if key not in _LOCAL_ROOTS:
+        local = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        sc.setCheckpointDir(local)
+        _LOCAL_ROOTS[key] = local
+    return _LOCAL_ROOTS[key]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
