@@ -46,7 +46,7 @@ class StagePaths:
 
 
 def run_pipeline(spark: SparkSession, paths: StagePaths, stages=("preprocess", "features", "training"),
-                 sample_rate: float = C.SAMPLE_RATE, seed: int = C.SEED):
+                 sample_rate: float = C.SAMPLE_RATE, seed: int = C.SEED, forest: dict | None = None):
     """M9: preprocess -> features -> training, handing over through tables.
 
     Every stage reads the previous stage's table, so a lost executor only
@@ -68,9 +68,9 @@ def run_pipeline(spark: SparkSession, paths: StagePaths, stages=("preprocess", "
         n = spark.sparkContext.defaultParallelism
         write_stage(train.repartition(n), paths.features + "_train")
         train = read_stage(spark, paths.features + "_train").cache()
-        scores = model.cross_validate(train)
+        scores = model.cross_validate(train, **(forest or {}))
         write_stage(scores, paths.scores)
-        fitted = model.fit_forest(train.drop("fold"))
+        fitted = model.fit_forest(train.drop("fold"), **(forest or {}))
         model.save_model(fitted, paths.model)
         out["model"] = fitted
         train.unpersist()
