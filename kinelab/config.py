@@ -44,8 +44,11 @@ ASOF_BROADCAST_MAX_ROWS = 2_000_000
 # As-of join: coarse time bucket used as a second equi-join key, so a key
 # with very many readings is split by time instead of landing in one task.
 ASOF_BUCKET_SECONDS = 86_400
-# Lower bound of the automatic bucket width.
+# Bounds of the automatic bucket width. The upper bound caps how much of
+# a hot key one task of Plan C holds; the lower bound caps the number of
+# buckets per key.
 ASOF_MIN_BUCKET_SECONDS = 3_600
+ASOF_MAX_BUCKET_SECONDS = 86_400
 # Plan A: intervals spanning more than this many buckets go to the per-key
 # table instead of being exploded over buckets (bounds the broadcast to
 # ASOF_MAX_EXPLODE x the reading count).

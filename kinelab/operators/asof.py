@@ -8,20 +8,20 @@ Left rows without such a row keep NULL values (J2). Right rows with equal
 Spark has no public as-of operator, so three plans rewrite it:
 
 * ``broadcast`` (Plan A): each reading becomes the interval [ts, next_ts).
-  Short intervals are exploded over coarse time buckets and probed with an
-  equi-join on (key, bucket) plus the range condition; long and open-ended
-  intervals are probed by key alone (few per key by construction). Both
-  sides are broadcast; the left side is never shuffled.
+  Short intervals are exploded over time buckets sized per key and probed
+  with an equi-join on (key, bucket) plus the range condition; long and
+  open-ended intervals are probed by key alone (few per key by
+  construction). The reading tables are broadcast; the left side is never
+  shuffled.
 * ``union`` (Plan B): union both sides, sort by (key, time, side) and carry
   the last reading forward with ``last(ignorenulls)``. Simple, but a key
   holding a large share of rows lands in one task.
 * ``bucketed`` (Plan C): Plan B per (key, time bucket), then a carry-in for
-  buckets that start without a reading, computed on the small per-bucket
-  tail table. No task holds more than one bucket of one key.
+  buckets that start without a reading, computed per key on one row per
+  bucket. No task holds more than one bucket of one key's rows.
 
 ``auto`` counts the right side and uses ``broadcast`` only when the count
-(times the explode bound) is under the limit, ``bucketed`` otherwise. The
-time bucket defaults to the readings' span per reading of a key.
+(times the explode bound) is under the limit, ``bucketed`` otherwise.
 """
 
 from __future__ import annotations
@@ -61,15 +61,32 @@ def _expand(df: DataFrame, left_cols: Sequence[str], values: Sequence[str]) -> D
 
 def asof_broadcast(left: DataFrame, right: DataFrame, by: str, left_t: str,
                    right_t: str, values: Sequence[str], tiebreak: str | None = None,
-                   bucket_s: float = C.ASOF_BUCKET_SECONDS,
-                   max_explode: int = C.ASOF_MAX_EXPLODE) -> DataFrame:
-    """Plan A. Call only when the right side's size is checked (see ``asof_join``)."""
+                   bucket_s: float | None = None,
+                   max_explode: int = C.ASOF_MAX_EXPLODE,
+                   min_bucket_s: float = C.ASOF_MIN_BUCKET_SECONDS) -> DataFrame:
+    """Plan A. Call only when the right side's size is checked (see ``asof_join``).
+
+    Each key gets its own bucket width (its reading span over its reading
+    count, at least ``min_bucket_s``) unless ``bucket_s`` is given, so a
+    dense key is probed against about one reading per bucket like any other.
+    All three broadcast tables are bounded by the reading count: per-key
+    widths (one row per key), short intervals (at most ``max_explode`` rows
+    per reading) and long intervals (one row per reading).
+    """
     r = dedupe_readings(right, by, right_t, values, tiebreak)
-    # The right side is bounded by the caller's size check, so this per-key
-    # window is over a bounded table.
-    r = r.withColumn("_next", F.lead("_rt").over(Window.partitionBy("_k").orderBy("_rt")))
-    b0 = _bucket(F.col("_rt"), bucket_s)
-    b1 = _bucket(F.col("_next"), bucket_s)
+    # The right side is bounded by the caller's size check, so these per-key
+    # aggregates and windows run over a bounded table.
+    wk = Window.partitionBy("_k")
+    if bucket_s:
+        width = F.lit(float(bucket_s))
+    else:
+        span = (F.max("_rt").over(wk) - F.min("_rt").over(wk)).cast("double")
+        width = F.greatest(F.lit(float(min_bucket_s)), span / F.count(F.lit(1)).over(wk))
+    r = (r.withColumn("_next", F.lead("_rt").over(wk.orderBy("_rt")))
+         .withColumn("_bw", width))
+    widths = r.select("_k", "_bw").distinct()
+    b0 = F.floor(F.col("_rt") / F.col("_bw"))
+    b1 = F.floor(F.col("_next") / F.col("_bw"))
     is_short = F.col("_next").isNotNull() & (b1 - b0 < F.lit(max_explode))
     short = (r.where(is_short)
              .select("_k", F.explode(F.sequence(b0, b1)).alias("_b"), "_rt", "_next", "_r"))
@@ -77,8 +94,10 @@ def asof_broadcast(left: DataFrame, right: DataFrame, by: str, left_t: str,
 
     left_cols = left.columns
     lt = F.col(f"_l.{left_t}")
-    L = left.select(F.struct(*[F.col(c) for c in left_cols]).alias("_l"),
-                    F.col(by).alias("_lk"), _bucket(F.col(left_t), bucket_s).alias("_lb"))
+    L = left.select(F.struct(*[F.col(c) for c in left_cols]).alias("_l"), F.col(by).alias("_lk"))
+    wb = F.broadcast(widths.alias("wb"))
+    L = (L.join(wb, F.col("_lk") == F.col("wb._k"), "left")
+         .select("_l", "_lk", F.floor(lt / F.col("wb._bw")).alias("_lb")))
     s = F.broadcast(short.alias("s"))
     j = L.join(s, (F.col("_lk") == F.col("s._k")) & (F.col("_lb") == F.col("s._b"))
                & (F.col("s._rt") <= lt) & (lt < F.col("s._next")), "left")
@@ -120,15 +139,14 @@ def asof_bucketed(left: DataFrame, right: DataFrame, by: str, left_t: str, right
                   bucket_s: float = C.ASOF_BUCKET_SECONDS) -> DataFrame:
     """Plan C: Plan B inside (key, bucket), then a carry-in across buckets.
 
-    The carry-in tables come from the readings alone, so the (big) left
-    side is scanned and sorted once:
-
-    * ``gaps``: for each bucket after a key's first non-empty bucket up to
-      its last one, the newest reading of the earlier buckets. It has one
-      row per bucket of each key's reading span (bounded by the time span,
-      not by the row count) and is keyed like the window's partitioning.
-    * ``last``: one row per key with its last non-empty bucket and newest
-      reading, for left rows after the key's last reading.
+    Pass 1 (the big one) sorts both sides inside (key, bucket) and carries
+    the last reading forward. Left rows whose bucket has no earlier reading
+    take the carry-in of their bucket: the newest reading of the key's
+    earlier buckets. The carry-in is a small as-of problem solved per key
+    over one row per bucket: the (key, bucket) pairs the left side uses (a
+    two-column distinct over the left input) and the newest reading of each
+    non-empty bucket. It is joined back on (key, bucket), the partitioning
+    of pass 1, so the big side is not shuffled again.
     """
     r = dedupe_readings(right, by, right_t, values, tiebreak)
     u = _union_sides(left, r, by, left_t).withColumn("_b", _bucket(F.col("_t"), bucket_s))
@@ -140,17 +158,20 @@ def asof_bucketed(left: DataFrame, right: DataFrame, by: str, left_t: str, right
     # Newest reading of each non-empty (key, bucket).
     tails = (r.withColumn("_b", _bucket(F.col("_rt"), bucket_s))
              .groupBy("_k", "_b").agg(F.max_by("_r", "_rt").alias("_tail")))
-    nxt = tails.withColumn("_nb", F.lead("_b").over(Window.partitionBy("_k").orderBy("_b")))
-    gaps = (nxt.where(F.col("_nb").isNotNull())
-            .select("_k", F.explode(F.sequence(F.col("_b") + 1, F.col("_nb"))).alias("_b"),
-                    F.col("_tail").alias("_in")))
-    last = nxt.where(F.col("_nb").isNull()).select(
-        "_k", F.col("_b").alias("_lastb"), F.col("_tail").alias("_lastv"))
-    out = (lpart.join(gaps, on=["_k", "_b"], how="left")
-           .join(last, on="_k", how="left")
-           .select("_l", F.coalesce(
-               F.col("_c"), F.col("_in"),
-               F.when(F.col("_b") > F.col("_lastb"), F.col("_lastv"))).alias("_v")))
+    need = (left.where(F.col(by).isNotNull() & F.col(left_t).isNotNull())
+            .select(F.col(by).alias("_k"), _bucket(F.col(left_t), bucket_s).alias("_b"))
+            .distinct())
+    tail_type = tails.schema["_tail"].dataType
+    x = (need.select("_k", "_b", F.lit(0).alias("_s"), F.lit(None).cast(tail_type).alias("_tail"))
+         .unionByName(tails.select("_k", "_b", F.lit(1).alias("_s"), "_tail")))
+    # A request sorts before the tail of its own bucket, so only earlier
+    # buckets are carried in. Rows per key: buckets of its span.
+    w2 = (Window.partitionBy("_k").orderBy("_b", "_s")
+          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    carry = (x.withColumn("_in", F.last("_tail", ignorenulls=True).over(w2))
+             .where(F.col("_s") == 0).select("_k", "_b", "_in"))
+    out = (lpart.join(carry, on=["_k", "_b"], how="left")
+           .select("_l", F.coalesce(F.col("_c"), F.col("_in")).alias("_v")))
     return _expand(out, left.columns, values)
 
 
@@ -174,7 +195,7 @@ def auto_bucket(stats: dict, min_bucket: float = C.ASOF_MIN_BUCKET_SECONDS) -> f
         return float(C.ASOF_BUCKET_SECONDS)
     span = float(stats["hi"] - stats["lo"]) or 1.0
     per_key = max(n / keys, 1.0)
-    return max(float(min_bucket), span / per_key)
+    return min(max(float(min_bucket), span / per_key), float(C.ASOF_MAX_BUCKET_SECONDS))
 
 
 def choose_plan(right: DataFrame, by: str, right_t: str,
@@ -199,17 +220,17 @@ def asof_join(left: DataFrame, right: DataFrame, by: str, left_t: str, right_t:
     if clash:
         raise ValueError(f"value columns already on the left side: {sorted(clash)}")
     stats = None
-    if plan == "auto" or (bucket_s is None and plan in ("broadcast", "bucketed")):
+    if plan == "auto" or (bucket_s is None and plan == "bucketed"):
         stats = reading_stats(right, by, right_t)
     if plan == "auto":
         plan = choose_plan(right, by, right_t, broadcast_max_rows, max_explode, stats)
-    if bucket_s is None:
-        bucket_s = auto_bucket(stats) if stats else float(C.ASOF_BUCKET_SECONDS)
-    if plan == "broadcast":
+    if plan == "broadcast":  # per-key widths unless bucket_s is given
         return asof_broadcast(left, right, by, left_t, right_t, values, tiebreak,
                               bucket_s, max_explode)
     if plan == "union":
         return asof_union(left, right, by, left_t, right_t, values, tiebreak)
     if plan == "bucketed":
+        if bucket_s is None:
+            bucket_s = auto_bucket(stats) if stats else float(C.ASOF_BUCKET_SECONDS)
         return asof_bucketed(left, right, by, left_t, right_t, values, tiebreak, bucket_s)
     raise ValueError(f"unknown as-of plan {plan!r}")

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from kinelab import config as C
 from kinelab import schemas
-from kinelab.operators.asof import asof_join
+from kinelab.operators.asof import asof_join, auto_bucket, choose_plan, reading_stats
+from kinelab.session import scratch_path
 from kinelab.operators.features import fit
 from kinelab.operators.sampling import sample_rows
 from kinelab.operators.windows import tumbling_mean
@@ -23,11 +24,28 @@ from kinelab.sources.telemetry import save_state
 
 def labelled_windows(samples: DataFrame, readings: DataFrame, size_s: int = C.WINDOW_SECONDS,
                      plan: str = "auto", tiebreak: str | None = "tiebreak",
-                     bucket_s: float | None = None) -> DataFrame:
-    """A1 -> J1 -> P6: (time BIGINT window start s, x, y, z, TAC_Reading, pid)."""
+                     bucket_s: float | None = None, materialize: bool | None = None) -> DataFrame:
+    """A1 -> J1 -> P6: (time BIGINT window start s, x, y, z, TAC_Reading, pid).
+
+    When the readings are too big to broadcast, the window table is written
+    to the shared checkpoint folder first (``materialize``): the bucketed
+    as-of plan reads the left side twice (rows, then its key/bucket pairs),
+    and a written table makes the second read a two-column scan and cuts
+    the lineage back to the raw samples.
+    """
     windows = tumbling_mean(samples, size_s)
     if tiebreak and tiebreak not in readings.columns:
         tiebreak = None
+    if plan == "auto":
+        stats = reading_stats(readings, C.KEY, C.READING_TIME)
+        plan = choose_plan(readings, C.KEY, C.READING_TIME, stats=stats)
+        if plan == "bucketed" and bucket_s is None:
+            bucket_s = auto_bucket(stats)
+    if materialize or (materialize is None and plan == "bucketed"):
+        spark = windows.sparkSession
+        path = scratch_path(spark, "windows")
+        windows.write.mode("overwrite").parquet(path)
+        windows = spark.read.parquet(path)
     labelled = asof_join(windows, readings, by=C.KEY, left_t=C.WINDOW_START,
                          right_t=C.READING_TIME, values=[C.READING], tiebreak=tiebreak,
                          plan=plan, bucket_s=bucket_s)

@@ -14,6 +14,8 @@ RIGHT = "pid string, ts bigint, v double, tb bigint"
 
 
 def run(spark, left, right, plan, bucket_s=100):
+    if bucket_s is None and plan == "bucketed":
+        bucket_s = 3600
     l = spark.createDataFrame(left, LEFT)
     r = spark.createDataFrame(right, RIGHT)
     out = asof_join(l, r, "pid", "t", "ts", ["v"], tiebreak="tb", plan=plan, bucket_s=bucket_s)
@@ -83,5 +85,39 @@ def test_broadcast_plan_keeps_left_unshuffled(spark):
     l = spark.createDataFrame([("A", 5, 1.0)], LEFT)
     r = spark.createDataFrame([("A", 1, 0.1, 0)], RIGHT)
     out = asof_join(l, r, "pid", "t", "ts", ["v"], tiebreak="tb", plan="broadcast")
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    lines = out._jdf.queryExecution().executedPlan().toString().splitlines()
+    left_scan = [i for i, ln in enumerate(lines) if "Scan ExistingRDD[pid" in ln and "t#" in ln]
+    assert left_scan
+    # ancestors of the left scan: no exchange between it and the root
+    i = left_scan[0]
+    depth = len(lines[i]) - len(lines[i].lstrip(" :+-"))
+    ancestors = []
+    for ln in reversed(lines[:i]):
+        d = len(ln) - len(ln.lstrip(" :+-"))
+        if d < depth:
+            ancestors.append(ln)
+            depth = d
+    assert not any("Exchange" in a for a in ancestors)
+    assert sum("BroadcastHashJoin" in a for a in ancestors) == 3
+    assert "SortMergeJoin" not in "\n".join(lines)
+
+
+@pytest.mark.parametrize("plan", PLANS)
+def test_hot_dense_key_and_sparse_keys(spark, plan):
+    """One key holds most readings at high density; others are sparse."""
+    rng = np.random.default_rng(11)
+    right = [("HOT", int(t), float(i), i) for i, t in enumerate(rng.integers(0, 100_000, 3000))]
+    right += [(f"S{j}", int(t), float(-j), 0) for j in range(5) for t in rng.integers(0, 100_000, 3)]
+    left = [("HOT", int(t), float(i)) for i, t in enumerate(rng.integers(-10, 100_010, 500))]
+    left += [(f"S{j}", int(t), 0.0) for j in range(6) for t in rng.integers(0, 100_000, 20)]
+    assert run(spark, left, right, plan, bucket_s=None if plan != "union" else 100) == brute(left, right)
+
+
+def test_labelled_windows_materializes_for_bucketed(spark):
+    from kinelab.plans.labelling import labelled_windows
+    from kinelab.sources import tables as tb
+    sf = "/root/testdata/sf0.001"
+    a = labelled_windows(tb.sensor_events(spark, sf), tb.readings_events(spark, sf), 86400, plan="broadcast")
+    b = labelled_windows(tb.sensor_events(spark, sf), tb.readings_events(spark, sf), 86400, plan="bucketed",
+                         bucket_s=3 * 86400, materialize=True)
+    assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
