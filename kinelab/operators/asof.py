@@ -156,8 +156,11 @@ def asof_bucketed(left: DataFrame, right: DataFrame, by: str, left_t: str, right
     lpart = u.where(F.col("_side") == 1).select("_k", "_b", "_l", "_c")
 
     # Newest reading of each non-empty (key, bucket).
+    # (one max_by per field: fixed-width buffers keep it a hash aggregate)
     tails = (r.withColumn("_b", _bucket(F.col("_rt"), bucket_s))
-             .groupBy("_k", "_b").agg(F.max_by("_r", "_rt").alias("_tail")))
+             .groupBy("_k", "_b")
+             .agg(*[F.max_by(F.col(f"_r.{v}"), F.col("_rt")).alias(v) for v in values])
+             .select("_k", "_b", F.struct(*[F.col(v) for v in values]).alias("_tail")))
     need = (left.where(F.col(by).isNotNull() & F.col(left_t).isNotNull())
             .select(F.col(by).alias("_k"), _bucket(F.col(left_t), bucket_s).alias("_b"))
             .distinct())
