@@ -73,19 +73,20 @@ def fit_forest(df: DataFrame, **kw) -> PipelineModel:
     return forest_pipeline(**kw).fit(df)
 
 
-def cross_validate(df: DataFrame, k: int = C.NUM_FOLDS, parallelism: int | None = None,
+def cross_validate(df: DataFrame, k: int = C.NUM_FOLDS, parallelism: int = 2,
                    **kw) -> DataFrame:
     """M5: per fold, fit on the other folds; score train and test splits.
 
     ``df`` is a training frame with a ``fold`` column (W2). Returns the long
     table (fold, split, metric, value). Each fold's model scores the whole
     frame once; the split is a column, so both splits come from one pass.
-    The k fits are submitted concurrently (as MLlib's CrossValidator does
-    with ``parallelism``): each fit is a sequence of small distributed jobs,
-    and running them side by side keeps the executors busy.
+    Fits are submitted ``parallelism`` at a time (as MLlib's CrossValidator
+    does): each fit is a sequence of per-level jobs with a serial driver
+    step, so two side by side keep the executors busy; more only contend
+    (measured at sf0.1: 2 -> 45 s, 5 -> 59 s, 1 -> 51 s).
     """
     from concurrent.futures import ThreadPoolExecutor
-    workers = parallelism or k
+    workers = max(1, min(parallelism, k))
     with ThreadPoolExecutor(max_workers=workers) as pool:
         models = list(pool.map(lambda f: forest_pipeline(**kw).fit(df.where(F.col("fold") != f)),
                                range(k)))
