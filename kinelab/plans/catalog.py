@@ -73,8 +73,9 @@ def _j1_orders(plan):
 
 
 # --------------------------------------------------------------- E1 / M1
-def _labelled_events(spark, d, plan="auto"):
-    return labelled_windows(tb.sensor_events(spark, d), tb.readings_events(spark, d), DAY, plan=plan)
+def _labelled_events(spark, d, plan="auto", materialize=None):
+    return labelled_windows(tb.sensor_events(spark, d), tb.readings_events(spark, d), DAY, plan=plan,
+                            materialize=materialize)
 
 
 def _labelled_out(df):
@@ -85,7 +86,10 @@ def _labelled_out(df):
 def q_e1_labelled_roundtrip(spark, d):
     """E1 end to end: A1 -> J1 -> P6 -> S3 (partitioned write) -> S4 (read)."""
     path = scratch_path(spark, "labelled")
-    write_labelled(_labelled_events(spark, d), path)
+    # The window table is written first: the range partitioner of the
+    # partitioned write samples its input, and that pass then re-reads a
+    # small table instead of re-aggregating the raw samples.
+    write_labelled(_labelled_events(spark, d, materialize=True), path)
     return _labelled_out(read_partitioned(spark, path, schemas.LABELLED))
 
 
@@ -108,7 +112,7 @@ def q_m9_pipeline_stages(spark, d):
     from kinelab.plans.labelling import StagePaths, run_pipeline
     root = scratch_path(spark, "stages")
     paths = StagePaths(*(f"{root}/{n}" for n in ("labelled", "pre", "feat", "state", "model", "scores")))
-    write_labelled(_labelled_events(spark, d), paths.labelled)
+    write_labelled(_labelled_events(spark, d, materialize=True), paths.labelled)
     run_pipeline(spark, paths, stages=("preprocess", "features"))
     return _features_out(read_stage(spark, paths.features).withColumn(C.KEY, F.col(C.KEY)))
 

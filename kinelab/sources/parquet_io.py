@@ -15,7 +15,8 @@ def write_partitioned(df: DataFrame, path: str, key: str = C.KEY, order: str | N
 
     Range-partitioning on (key, time) instead of hashing on the key: a key
     holding a third of the rows is split across several writer tasks, and
-    each task still writes only a few key folders.
+    each task still writes only a few key folders. The range partitioner
+    samples its input once, so pass a written (or cheap) input.
     """
     cols = [key] + ([order] if order and order in df.columns else [])
     n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
