@@ -22,11 +22,9 @@ from pyspark.sql import functions as F
 from kinelab import config as C
 
 
-def _groups(d: DataFrame, label: str, key: str, order: Sequence[str]) -> DataFrame:
-    """Counts per (label, key, bucket) with each group's first row in order."""
-    first = F.struct(*[F.col(c) for c in order])
-    return d.groupBy(label, key, "_fb").agg(F.count(F.lit(1)).alias("_gn"),
-                                            F.min(first).alias("_gfirst"))
+def _groups(d: DataFrame, label: str, key: str) -> DataFrame:
+    """Row counts per (label, key, bucket): a hash aggregate, shared by all users."""
+    return d.groupBy(label, key, "_fb").agg(F.count(F.lit(1)).alias("_gn"))
 
 
 def class_rank(d: DataFrame, groups: DataFrame, label: str, key: str, time_col: str,
@@ -55,13 +53,29 @@ def class_rank(d: DataFrame, groups: DataFrame, label: str, key: str, time_col:
             .drop("_fb", "_rn", "_off"))
 
 
-def fold_table(groups: DataFrame, label: str, key: str, k: int = C.NUM_FOLDS) -> DataFrame:
+def class_order(d: DataFrame, groups: DataFrame, label: str, key: str, time_col: str,
+                tiebreak: Sequence[str] = ()) -> DataFrame:
+    """(label, _first, _n): each class's first row in row order, and its size.
+
+    The first (key, bucket) group of each class comes from the small count
+    table; the exact first row is then taken only among the rows of those
+    few groups (a broadcast filter), so no sort runs over all rows.
+    """
+    first_group = groups.groupBy(label).agg(
+        F.min(F.struct(F.col(key).alias("k"), F.col("_fb").alias("b"))).alias("_fg"),
+        F.sum("_gn").alias("_n"))
+    fg = first_group.select(label, F.col("_fg.k").alias(key), F.col("_fg.b").alias("_fb"))
+    first = F.struct(*[F.col(c) for c in (key, time_col, *tiebreak)])
+    firsts = (d.join(F.broadcast(fg), on=[label, key, "_fb"])
+              .groupBy(label).agg(F.min(first).alias("_first")))
+    return first_group.select(label, "_n").join(firsts, on=label)
+
+
+def fold_table(classes: DataFrame, label: str, k: int = C.NUM_FOLDS) -> DataFrame:
     """(label, fold, lo, hi): class rows with lo <= rank < hi go to ``fold``.
 
-    Built from the group-count table; size is classes x k rows.
+    ``classes`` is ``class_order(...)``; size is classes x k rows.
     """
-    first = F.struct(F.col(key), F.col("_fb"), F.col("_gfirst"))
-    classes = groups.groupBy(label).agg(F.min(first).alias("_first"), F.sum("_gn").alias("_n"))
     # Classes in order of first appearance; start of each class in the
     # label-sorted sequence (a window over the few classes).
     wc = Window.orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)
@@ -86,9 +100,10 @@ def stratified_folds(df: DataFrame, label: str = C.LABEL, key: str = C.KEY,
     cols = df.columns
     d = (df.where(F.col(label).isNotNull())
          .withColumn("_fb", F.floor(F.col(time_col) / F.lit(float(bucket_s) * time_per_s))))
-    groups = _groups(d, label, key, [time_col, *tiebreak])
+    groups = _groups(d, label, key)
     ranked = class_rank(d, groups, label, key, time_col, tiebreak)
-    folds = F.broadcast(fold_table(groups, label, key, k).alias("f"))
+    classes = class_order(d, groups, label, key, time_col, tiebreak)
+    folds = F.broadcast(fold_table(classes, label, k).alias("f"))
     j = ranked.join(folds, (ranked[label] == F.col(f"f.{label}"))
                     & (F.col("_rank") >= F.col("f.lo")) & (F.col("_rank") < F.col("f.hi")))
     return j.select(*[ranked[c] for c in cols], F.col("f.fold").cast("int").alias("fold"))
