@@ -40,3 +40,29 @@ def test_save_and_load(spark, scratch):
     a = model.predict(m, df, keep=["time"]).orderBy("time").collect()
     b = model.predict(model.load_model(path), df, keep=["time"]).orderBy("time").collect()
     assert a == b
+
+
+def test_four_rows_two_stratified_folds(spark):
+    from kinelab import config as C
+    from kinelab.operators import features, folds, opsmetrics
+    rows = [("A", 0, 1.0, 2.0, 3.0, 0.01), ("A", 10, 4.0, 5.0, 6.0, 0.09),
+            ("B", 0, 1.5, 2.5, 3.5, 0.02), ("B", 10, 4.5, 5.5, 6.5, 0.10)]
+    df = spark.createDataFrame(rows, "pid string, time bigint, x double, y double, z double, TAC_Reading double")
+    feats = features.training_features(df)
+    framed = model.training_frame(folds.stratified_folds(feats, time_col="time", k=2))
+    assert sorted((r.label, r.fold) for r in framed.collect()) == [(0.0, 0), (0.0, 1), (1.0, 0), (1.0, 1)]
+    scores = model.cross_validate(framed, k=2, num_trees=3, max_depth=2)
+    names = {r.name for r in opsmetrics.fold_metric_means(scores).collect()}
+    assert names == set(C.METRICS_TO_LOG)
+    preds = model.predict(model.fit_forest(framed.drop("fold"), num_trees=3, max_depth=2), framed)
+    assert preds.count() == 4 and {r.prediction for r in preds.collect()} <= {0, 1}
+
+
+def test_training_frame_drops_key_reading_and_null_labels(spark):
+    df = spark.createDataFrame(
+        [(1, 1.0, 2.0, 3.0, 0.1, "A", 14.0, 3.7, True), (2, 1.0, 2.0, 3.0, None, "A", 14.0, 3.7, None)],
+        "time bigint, x double, y double, z double, TAC_Reading double, pid string, energy double, "
+        "magnitude double, is_intoxicated boolean")
+    out = model.training_frame(df)
+    assert out.columns == ["time", "x", "y", "z", "energy", "magnitude", "label"]
+    assert out.count() == 1
