@@ -121,3 +121,15 @@ def test_labelled_windows_materializes_for_bucketed(spark):
     b = labelled_windows(tb.sensor_events(spark, sf), tb.readings_events(spark, sf), 86400, plan="bucketed",
                          bucket_s=3 * 86400, materialize=True)
     assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
+
+
+@pytest.mark.parametrize("plan", ["auto"] + PLANS)
+def test_empty_readings_keep_all_windows(spark, plan):
+    from kinelab.plans.labelling import labelled_windows
+    from kinelab.sources.csv import empty_readings
+    samples = spark.createDataFrame([("A", 0, 1.0, 2.0, 3.0), ("B", 15000, 1.0, 1.0, 1.0)],
+                                    "pid string, time_ms bigint, x double, y double, z double")
+    out = labelled_windows(samples, empty_readings(spark), 10, plan=plan,
+                           bucket_s=None if plan in ("auto", "broadcast") else 100)
+    rows = sorted((r.pid, r.time, r.TAC_Reading) for r in out.collect())
+    assert rows == [("A", 0, None), ("B", 10, None)]
