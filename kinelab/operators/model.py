@@ -48,14 +48,18 @@ def metrics_long(wide: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
 
 def forest_pipeline(features: Sequence[str] = C.FEATURE_ORDER, num_trees: int = C.NUM_TREES,
                     max_depth: int = C.MAX_DEPTH, seed: int = C.SEED,
-                    handle_invalid: str = "skip") -> Pipeline:
-    """M4: assembler + forest (gini, bootstrap, sqrt features, maxBins 32)."""
+                    handle_invalid: str = "skip", max_memory_mb: int = 256) -> Pipeline:
+    """M4: assembler + forest (gini, bootstrap, sqrt features, maxBins 32).
+
+    ``max_memory_mb`` only sets how many nodes are split per pass over the
+    data (more memory, fewer passes); the trees do not change.
+    """
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="features",
                         handleInvalid=handle_invalid),
         RandomForestClassifier(featuresCol="features", labelCol="label",
                                numTrees=num_trees, maxDepth=max_depth, seed=seed,
-                               cacheNodeIds=True),
+                               cacheNodeIds=True, maxMemoryInMB=max_memory_mb),
     ])
 
 

@@ -23,7 +23,7 @@ from kinelab.session import scratch_path
 from kinelab.sources import csv as csvsrc
 from kinelab.sources import tables as tb
 from kinelab.sources import telemetry as tel
-from kinelab.sources.parquet_io import read_partitioned, read_stage, write_stage
+from kinelab.sources.parquet_io import read_partitioned, read_stage
 from kinelab import schemas
 
 DAY = 86_400

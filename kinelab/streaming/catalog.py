@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kinelab import config as C
-from kinelab.operators import drift
 from kinelab.plans import catalog as cat
 from kinelab.session import scratch_path
 from kinelab.sources import tables as tb

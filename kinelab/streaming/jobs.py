@@ -14,11 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from kinelab import config as C
-from kinelab.functions import nan_to_null
+from kinelab.functions import bool_text, nan_to_null
 from kinelab.operators import drift
 from kinelab.operators.asof import asof_join
 from kinelab.operators.features import scoring_features
-from kinelab.functions import bool_text
 from kinelab.sources.telemetry import parse_requests
 
 
