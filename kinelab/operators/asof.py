@@ -21,11 +21,13 @@ Spark has no public as-of operator, so three plans rewrite it:
   bucket. No task holds more than one bucket of one key's rows.
 
 ``auto`` counts the right side and uses ``broadcast`` only when the count
-(times the explode bound) is under the limit, ``bucketed`` otherwise.
+(times the explode bound) is under the limit, ``bucketed`` otherwise. An
+explicit ``broadcast`` request is held to the same bound.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -33,6 +35,8 @@ from pyspark.sql import functions as F
 
 from kinelab import config as C
 
+log = logging.getLogger(__name__)
+
 
 def dedupe_readings(right: DataFrame, by: str, t: str, values: Sequence[str],
                     tiebreak: str | None = None) -> DataFrame:
@@ -223,10 +227,16 @@ def asof_join(left: DataFrame, right: DataFrame, by: str, left_t: str, right_t:
     if clash:
         raise ValueError(f"value columns already on the left side: {sorted(clash)}")
     stats = None
-    if plan == "auto" or (bucket_s is None and plan == "bucketed"):
+    if plan in ("auto", "broadcast") or (bucket_s is None and plan == "bucketed"):
         stats = reading_stats(right, by, right_t)
-    if plan == "auto":
-        plan = choose_plan(right, by, right_t, broadcast_max_rows, max_explode, stats)
+    if plan in ("auto", "broadcast"):
+        # A requested broadcast is honoured only under the size bound; above
+        # it the bucketed plan runs (same result, no broadcast).
+        chosen = choose_plan(right, by, right_t, broadcast_max_rows, max_explode, stats)
+        if plan == "broadcast" and chosen != "broadcast":
+            log.warning("as-of: %d readings exceed the broadcast bound; using the bucketed plan",
+                        stats["n"])
+        plan = chosen
     if plan == "broadcast":  # per-key widths unless bucket_s is given
         return asof_broadcast(left, right, by, left_t, right_t, values, tiebreak,
                               bucket_s, max_explode)

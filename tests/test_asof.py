@@ -133,3 +133,14 @@ def test_empty_readings_keep_all_windows(spark, plan):
                            bucket_s=None if plan in ("auto", "broadcast") else 100)
     rows = sorted((r.pid, r.time, r.TAC_Reading) for r in out.collect())
     assert rows == [("A", 0, None), ("B", 10, None)]
+
+
+def test_forced_broadcast_over_bound_falls_back(spark, caplog):
+    import logging
+    l = spark.createDataFrame([("A", 5, 1.0), ("A", 50, 2.0)], LEFT)
+    r = spark.createDataFrame([("A", t, float(t), 0) for t in range(0, 40, 4)], RIGHT)
+    with caplog.at_level(logging.WARNING, logger="kinelab.operators.asof"):
+        out = asof_join(l, r, "pid", "t", "ts", ["v"], tiebreak="tb", plan="broadcast",
+                        broadcast_max_rows=8)
+    assert any("bucketed plan" in rec.getMessage() for rec in caplog.records)
+    assert sorted((row.t, row.v) for row in out.collect()) == [(5, 4.0), (50, 36.0)]
