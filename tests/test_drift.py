@@ -76,3 +76,15 @@ def test_column_log_roundtrip(spark, scratch):
     assert spark.read.text(path).count() == 3
     back = sorted((int(r.row), r.timestamp, r.is_intoxicated) for r in tel.read_column_log(spark, path).collect())
     assert back == [(i, 1000 * i, i % 2 == 0) for i in range(25)]
+
+
+def test_quantile_disc_matches_sorting(spark):
+    import numpy as np
+    rng = np.random.default_rng(5)
+    vals = [int(v) for v in rng.integers(-10**15, 10**15, 3001)] + [7] * 2000  # a hot value
+    df = spark.createDataFrame([(v,) for v in vals], "v bigint")
+    s = sorted(vals)
+    for q in (0.0, 0.25, 0.5, 0.9, 1.0):
+        assert drift.quantile_disc(df, "v", q) == s[int((len(s) - 1) * q)]
+    dbl = spark.createDataFrame([(float(x) / 7,) for x in range(1000)], "v double")
+    assert drift.quantile_disc(dbl, "v", 0.5) == sorted(float(x) / 7 for x in range(1000))[499]
