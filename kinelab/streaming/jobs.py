@@ -132,6 +132,9 @@ def _previous_state(spark: SparkSession, root: str, batch_id: int) -> DataFrame
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(p):
         return None
+    prev = jvm.org.apache.hadoop.fs.Path(f"{root}/b={batch_id - 1}")
+    if fs.exists(prev):  # the usual case: no listing of the growing folder
+        return spark.read.parquet(f"{root}/b={batch_id - 1}")
     ids = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
