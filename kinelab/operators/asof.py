@@ -217,17 +217,17 @@ def asof_join(left: DataFrame, right: DataFrame, by: str, left_t: str, right_t:
               values: Sequence[str], tiebreak: str | None = None, plan: str = "auto",
               bucket_s: float | None = None,
               broadcast_max_rows: int = C.ASOF_BROADCAST_MAX_ROWS,
-              max_explode: int = C.ASOF_MAX_EXPLODE) -> DataFrame:
+              max_explode: int = C.ASOF_MAX_EXPLODE, stats: dict | None = None) -> DataFrame:
     """Backward as-of left join; output = left columns + ``values``.
 
     ``bucket_s=None`` sizes the time bucket from the readings' density.
-    Both ``auto`` choices need one small aggregate over the right side.
+    Both ``auto`` choices need one small aggregate over the right side
+    (``reading_stats``; pass ``stats`` when already computed).
     """
     clash = set(values) & set(left.columns)
     if clash:
         raise ValueError(f"value columns already on the left side: {sorted(clash)}")
-    stats = None
-    if plan in ("auto", "broadcast") or (bucket_s is None and plan == "bucketed"):
+    if stats is None and (plan in ("auto", "broadcast") or (bucket_s is None and plan == "bucketed")):
         stats = reading_stats(right, by, right_t)
     if plan in ("auto", "broadcast"):
         # A requested broadcast is honoured only under the size bound; above

@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from kinelab import config as C
 from kinelab import schemas
 from kinelab.operators.asof import asof_join, auto_bucket, choose_plan, reading_stats
-from kinelab.session import scratch_path
 from kinelab.operators.features import fit
 from kinelab.operators.sampling import sample_rows
 from kinelab.operators.windows import tumbling_mean
 from kinelab.sources.parquet_io import read_partitioned, read_stage, write_partitioned, write_stage
+from kinelab.session import scratch_path
 from kinelab.sources.telemetry import save_state
 
 
@@ -36,6 +36,7 @@ def labelled_windows(samples: DataFrame, readings: DataFrame, size_s: int = C.WI
     windows = tumbling_mean(samples, size_s)
     if tiebreak and tiebreak not in readings.columns:
         tiebreak = None
+    stats = None
     if plan == "auto":
         stats = reading_stats(readings, C.KEY, C.READING_TIME)
         plan = choose_plan(readings, C.KEY, C.READING_TIME, stats=stats)
@@ -48,7 +49,7 @@ def labelled_windows(samples: DataFrame, readings: DataFrame, size_s: int = C.WI
         windows = spark.read.parquet(path)
     labelled = asof_join(windows, readings, by=C.KEY, left_t=C.WINDOW_START,
                          right_t=C.READING_TIME, values=[C.READING], tiebreak=tiebreak,
-                         plan=plan, bucket_s=bucket_s)
+                         plan=plan, bucket_s=bucket_s, stats=stats)
     return labelled.select(F.col(C.WINDOW_START).cast("bigint").alias("time"),
                            "x", "y", "z", C.READING, C.KEY)
 

@@ -85,7 +85,7 @@ def asof_labeller(readings: DataFrame, path: str, tiebreak: str | None = "tiebre
 
     def label(batch: DataFrame, batch_id: int) -> None:
         out = asof_join(batch, readings, C.KEY, C.WINDOW_START, C.READING_TIME, [C.READING],
-                        tiebreak=tiebreak, plan=plan, bucket_s=bucket_s)
+                        tiebreak=tiebreak, plan=plan, bucket_s=bucket_s, stats=stats)
         out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
     return label
 
