@@ -74,18 +74,27 @@ def asof_labeller(readings: DataFrame, path: str, tiebreak: str | None = "tiebre
                   bucket_s: float | None = None) -> Callable[[DataFrame, int], None]:
     """ST2: label each micro-batch of closed windows against static readings.
 
-    The readings' size is checked once here (Plan A needs a bounded side);
-    each batch then runs the broadcast interval join, or Plan C beyond it.
+    The readings are reduced to one row per (key, time) and written once
+    next to the output, so every micro-batch reads a small prepared table
+    instead of re-scanning the source. Their size is checked once (Plan A
+    needs a bounded side); each batch then runs the broadcast interval join,
+    or Plan C beyond the bound.
     """
-    from kinelab.operators.asof import auto_bucket, choose_plan, reading_stats
-    stats = reading_stats(readings, C.KEY, C.READING_TIME)
-    plan = choose_plan(readings, C.KEY, C.READING_TIME, stats=stats)
+    from kinelab.operators.asof import auto_bucket, choose_plan, dedupe_readings, reading_stats
+    spark = readings.sparkSession
+    prepared = f"{path}_readings"
+    (dedupe_readings(readings, C.KEY, C.READING_TIME, [C.READING], tiebreak)
+     .select(F.col("_k").alias(C.KEY), F.col("_rt").alias(C.READING_TIME), F.col(f"_r.{C.READING}"))
+     .write.mode("overwrite").parquet(prepared))
+    table = spark.read.parquet(prepared)
+    stats = reading_stats(table, C.KEY, C.READING_TIME)
+    plan = choose_plan(table, C.KEY, C.READING_TIME, stats=stats)
     if plan == "bucketed":
         bucket_s = bucket_s or auto_bucket(stats)
 
     def label(batch: DataFrame, batch_id: int) -> None:
-        out = asof_join(batch, readings, C.KEY, C.WINDOW_START, C.READING_TIME, [C.READING],
-                        tiebreak=tiebreak, plan=plan, bucket_s=bucket_s, stats=stats)
+        out = asof_join(batch, table, C.KEY, C.WINDOW_START, C.READING_TIME, [C.READING],
+                        tiebreak=None, plan=plan, bucket_s=bucket_s, stats=stats)
         out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
     return label
 
