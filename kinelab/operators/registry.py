@@ -1,9 +1,9 @@
 """The run registry as a table.
 
 Registry rows: run_id, run_name, end_time (NULL = unfinished).
-Every pick is an aggregate keyed by run_name, so a run name with a very
-large share of the rows is pre-aggregated map-side instead of sorted in
-one task.
+Every pick is a hash aggregate keyed by run_name, so a run name with a
+very large share of the rows is pre-aggregated map-side instead of sorted
+in one task.
 """
 
 from __future__ import annotations
@@ -22,18 +22,36 @@ def unfinished(registry: DataFrame) -> DataFrame:
     return registry.where(F.col("end_time").isNull())
 
 
+def _per_name(registry: DataFrame) -> DataFrame:
+    """Per run name: unfinished count, newest unfinished id, newest finished run.
+
+    Two hash aggregates, no sort: the largest run id per (name, end time),
+    then per name the one at the latest end time (unique by then, so
+    ``max_by`` is exact; ties on end time go to the larger run id).
+    """
+    open_ = registry.groupBy("run_name").agg(
+        F.count_if(F.col("end_time").isNull()).alias("n_unfinished"),
+        F.max(F.when(F.col("end_time").isNull(), F.col("run_id"))).alias("open_run"))
+    fin = (registry.where(F.col("end_time").isNotNull())
+           .groupBy("run_name", "end_time").agg(F.max("run_id").alias("run_id"))
+           .groupBy("run_name").agg(F.max_by("run_id", "end_time").alias("fin_run"),
+                                    F.max("end_time").alias("fin_end")))
+    return open_.join(fin, on="run_name", how="left")
+
+
 def newest_run(registry: DataFrame) -> DataFrame:
     """Per run name, the unfinished run first, else the newest end_time.
 
     Same row as ``row_number() over (partition by run_name order by
-    end_time desc nulls first, run_id desc) = 1``, as a max over an ordering
-    struct (skew-safe partial aggregate).
+    end_time desc nulls first, run_id desc) = 1``, built from hash
+    aggregates (a name with a very large share of rows is pre-aggregated
+    map-side, never sorted in one task).
     """
-    order = F.struct(F.col("end_time").isNull().alias("u"), F.col("end_time").alias("e"),
-                     F.col("run_id").alias("r"))
-    return (registry.groupBy("run_name")
-            .agg(F.max(order).alias("_m"))
-            .select("run_name", F.col("_m.r").alias("run_id"), F.col("_m.e").alias("end_time")))
+    g = _per_name(registry)
+    has_open = F.col("n_unfinished") > 0
+    return g.select("run_name",
+                    F.when(has_open, F.col("open_run")).otherwise(F.col("fin_run")).alias("run_id"),
+                    F.when(has_open, F.lit(None)).otherwise(F.col("fin_end")).alias("end_time"))
 
 
 def latest_run_status(registry: DataFrame) -> DataFrame:
@@ -43,18 +61,13 @@ def latest_run_status(registry: DataFrame) -> DataFrame:
     'finished' (no unfinished run; the newest end_time, ties -> larger
     run_id), 'multiple_unfinished' (error: run_id NULL).
     """
-    fin = F.struct(F.col("end_time").alias("e"), F.col("run_id").alias("r"))
-    g = registry.groupBy("run_name").agg(
-        F.count_if(F.col("end_time").isNull()).alias("n_unfinished"),
-        F.max(F.when(F.col("end_time").isNull(), F.col("run_id"))).alias("open_run"),
-        F.max(F.when(F.col("end_time").isNotNull(), fin)).alias("_fin"),
-    )
+    g = _per_name(registry)
     status = (F.when(F.col("n_unfinished") > 1, F.lit("multiple_unfinished"))
               .when(F.col("n_unfinished") == 1, F.lit("unfinished"))
               .otherwise(F.lit("finished")))
     run_id = (F.when(F.col("n_unfinished") > 1, F.lit(None))
               .when(F.col("n_unfinished") == 1, F.col("open_run"))
-              .otherwise(F.col("_fin.r")))
+              .otherwise(F.col("fin_run")))
     return g.select("run_name", run_id.alias("run_id"), status.alias("status"))
 
 
