@@ -278,6 +278,23 @@ def q_s12_metrics_table(spark, d):
         "metric", "label_key", "label_value", r6("value").alias("value"))
 
 
+# ------------------------------------------------------------ T1, U2
+def q_t1_sorted_readings(spark, d):
+    from kinelab.operators.windows import sort_readings
+    r = tb.readings_events(spark, d).select(C.KEY, C.READING_TIME, r6(C.READING).alias(C.READING))
+    return sort_readings(r)
+
+
+def q_u2_union_aligned(spark, d):
+    """Readings of both sources in one table; each source's own id column is NULL for the other."""
+    from kinelab.operators.windows import union_aligned
+    ev = tb.readings_events(spark, d).select(C.KEY, C.READING_TIME, r6(C.READING).alias(C.READING),
+                                             F.col("tiebreak").alias("event_id"))
+    od = tb.readings_orders(spark, d).select(C.KEY, C.READING_TIME, r6(C.READING).alias(C.READING),
+                                             F.col("tiebreak").alias("order_key"))
+    return union_aligned([ev, od])
+
+
 # ------------------------------------------------------------ file names
 def q_f7_f8_file_keys(spark, d):
     pages = tb.table(spark, d, "pages").select("page_id", "url")
@@ -481,6 +498,16 @@ SQL_S2 = f"""SELECT CAST(pid AS VARCHAR) AS pid, window_start_s, round(x, 6) AS
 
 SQL_S8 = "SELECT CAST(event_id AS VARCHAR) AS row, CAST(floor(epoch_us(ts) / 1000.0) AS BIGINT) AS timestamp, value / 500.0 >= 0.08 AS is_intoxicated FROM events"
 
+SQL_T1 = """SELECT user_id AS pid, CAST(floor(epoch_us(ts) / 1000000.0) AS BIGINT) AS timestamp,
+  round(value / 500.0, 6) AS TAC_Reading FROM events WHERE event_type = 'purchase' ORDER BY 1, 2"""
+
+SQL_U2 = """SELECT user_id AS pid, CAST(floor(epoch_us(ts) / 1000000.0) AS BIGINT) AS timestamp,
+  round(value / 500.0, 6) AS TAC_Reading, event_id, CAST(NULL AS BIGINT) AS order_key
+FROM events WHERE event_type = 'purchase'
+UNION ALL
+SELECT o_custkey, CAST(floor(epoch_us(o_orderdate) / 1000000.0) AS BIGINT), round(o_totalprice / 1e6, 6),
+  CAST(NULL AS BIGINT), o_orderkey FROM orders"""
+
 SQL_S9 = f"""SELECT time_ms AS time, x, y, z, round(x * x + y * y + z * z, 6) AS energy,
   round(sqrt(x * x + y * y + z * z), 6) AS magnitude FROM ({SENSOR_A})"""
 
@@ -523,6 +550,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a13_sustained_errors": q_a13_sustained,
     "s12_metrics_table": q_s12_metrics_table,
     "f7_f8_file_keys": q_f7_f8_file_keys,
+    "t1_sorted_readings": q_t1_sorted_readings,
+    "u2_union_aligned": q_u2_union_aligned,
     "s1_readings_folder": q_s1_readings_folder,
     "s2_sensor_csv": q_s2_sensor_csv,
 }
@@ -565,6 +594,8 @@ SQL: dict[str, str] = {
     "a13_sustained_errors": SQL_A13,
     "s12_metrics_table": SQL_S12,
     "f7_f8_file_keys": SQL_F7,
+    "t1_sorted_readings": SQL_T1,
+    "u2_union_aligned": SQL_U2,
     "s1_readings_folder": SQL_S1,
     "s2_sensor_csv": SQL_S2,
 }
