@@ -62,10 +62,13 @@ def window_means(samples: DataFrame, size_s: int = C.WINDOW_SECONDS, delay: str
                  event_time: str = "ts", key: str = C.KEY,
                  value_cols: Sequence[str] = ("x", "y", "z")) -> DataFrame:
     """ST1: tumbling-window means per key, emitted once the watermark passes the window."""
-    return (samples.where(F.col(key).isNotNull())
-            .withWatermark(event_time, delay)
+    # No filter before the aggregate: Catalyst pushes filters below the
+    # watermark, which would then follow only the surviving rows' event time.
+    # NULL keys are dropped from the finished windows instead.
+    return (samples.withWatermark(event_time, delay)
             .groupBy(F.col(key), F.window(event_time, f"{size_s} seconds").alias("w"))
             .agg(*[F.avg(nan_to_null(c)).alias(c) for c in value_cols])
+            .where(F.col(key).isNotNull())
             .select(key, F.unix_seconds(F.col("w.start")).alias(C.WINDOW_START), *value_cols))
 
 
@@ -172,9 +175,13 @@ def error_windows(http: DataFrame, window_s: int = 60, delay: str = "0 seconds",
                   ok_pattern: str = "200") -> DataFrame:
     """ST6: non-OK responses per (window, job, instance) with a watermark."""
     from kinelab.functions import not_matching
-    return (http.where(not_matching("code", ok_pattern))
-            .withWatermark("ts", delay)
+    # Errors are counted inside the aggregate rather than filtered before it:
+    # a filter would be pushed below the watermark, which would then follow
+    # only error events and leave windows open while other traffic flows.
+    bad = not_matching("code", ok_pattern)
+    return (http.withWatermark("ts", delay)
             .groupBy(F.window("ts", f"{window_s} seconds").alias("w"), "job", "instance")
-            .agg(F.count(F.lit(1)).alias("errors"))
+            .agg(F.count_if(bad).alias("errors"))
+            .where(F.col("errors") > 0)
             .select("job", "instance", F.unix_seconds(F.col("w.start")).alias("window_start_s"),
                     "errors", (F.col("errors") / F.lit(float(window_s))).alias("rate")))
