@@ -61,8 +61,12 @@ def class_order(d: DataFrame, groups: DataFrame, label: str, key: str, time_col:
     table; the exact first row is then taken only among the rows of those
     few groups (a broadcast filter), so no sort runs over all rows.
     """
+    # The min reads the group count (always > 0) so that the optimizer keeps
+    # the group aggregate underneath: a min over the group columns alone
+    # would be rewritten onto the raw rows and sort all of them.
     first_group = groups.groupBy(label).agg(
-        F.min(F.struct(F.col(key).alias("k"), F.col("_fb").alias("b"))).alias("_fg"),
+        F.min(F.when(F.col("_gn") > 0, F.struct(F.col(key).alias("k"), F.col("_fb").alias("b"))))
+        .alias("_fg"),
         F.sum("_gn").alias("_n"))
     fg = first_group.select(label, F.col("_fg.k").alias(key), F.col("_fg.b").alias("_fb"))
     first = F.struct(*[F.col(c) for c in (key, time_col, *tiebreak)])
