@@ -88,3 +88,12 @@ def test_quantile_disc_matches_sorting(spark):
         assert drift.quantile_disc(df, "v", q) == s[int((len(s) - 1) * q)]
     dbl = spark.createDataFrame([(float(x) / 7,) for x in range(1000)], "v double")
     assert drift.quantile_disc(dbl, "v", 0.5) == sorted(float(x) / 7 for x in range(1000))[499]
+
+
+def test_column_log_aligns_row_labels(spark, tmp_path):
+    d = tmp_path / "log"
+    os.makedirs(d)
+    doc = {"timestamp": {"0": 10, "1": 20}, "is_intoxicated": {"1": True, "2": False}}
+    (d / "doc.json").write_text(json.dumps(doc))
+    got = sorted((r.row, r.timestamp, r.is_intoxicated) for r in tel.read_column_log(spark, str(d)).collect())
+    assert got == [("0", 10, None), ("1", 20, True), ("2", None, False)]
