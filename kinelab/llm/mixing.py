@@ -20,14 +20,18 @@ gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinelab.llm.common import staged
+from kinelab.llm.common import small_batches, staged
 
 #: Fixed values of the mixture: weights by source rank, share of all words, most repeats.
 WEIGHTS = (3, 1, 2)
-SHARE = 1.5
+SHARE = (3, 2)
 MOST = 2
 #: The corpus is cut into about this many blocks.
 BLOCKS = 65_536
@@ -49,7 +53,7 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     order = Window.orderBy("ratio", "rank")
     everything = Window.partitionBy(F.lit(1))
     level = (ranked
-             .withColumn("budget", F.sum("source_size").over(everything) * SHARE)
+             .withColumn("budget", F.sum("source_size").over(everything) * (SHARE[0] / SHARE[1]))
              .withColumn("capped", F.sum("cap").over(order) - F.col("cap"))
              .withColumn("open", F.sum("weight").over(everything) - (F.sum("weight").over(order) - F.col("weight")))
              .withColumn("level", (F.col("budget") - F.col("capped")) / F.col("open"))
@@ -63,7 +67,8 @@ def source_targets(sizes: DataFrame) -> DataFrame:
 def awards(targets: DataFrame, block: int) -> DataFrame:
     """rank, k, award: the k-th block of a source is the award-th of the corpus."""
     blocks = F.ceil(F.col("source_size") / F.lit(block))
-    seats = F.round(F.sum("target").over(Window.partitionBy(F.lit(1))) / block).cast("long")
+    words = F.sum("source_size").over(Window.partitionBy(F.lit(1)))
+    seats = F.floor((words * SHARE[0] + F.lit(block * SHARE[1] // 2)) / F.lit(block * SHARE[1])).cast("long")
     per_source = (targets.withColumn("seats", seats).where("target > 0")
                   .select("rank", "target", "seats", F.explode(F.sequence(F.lit(0).cast("long"), (blocks * MOST - 1).cast("long"))).alias("k")))
     by_quotient = Window.orderBy((F.col("target") / (F.col("k") * 2 + 1)).desc(), "rank")
@@ -124,3 +129,41 @@ def mixture(docs: DataFrame, shards: int = 8) -> tuple[DataFrame, DataFrame]:
            .select("doc_id", "size", "source_size", "target",
                    F.when(F.col("size") > 0, taken).otherwise(0).cast("long").alias("taken")))
     return out, quotas(awarded, shards)
+
+
+def _write_out(names: list[str]):
+    """Whole copies, then the part that holds the remaining words."""
+    word = re.compile(r"[^\x20\x09-\x0D]+")
+
+    def part(text: str, words: int) -> str:
+        for n, m in enumerate(word.finditer(text), 1):
+            if n == words:
+                return text[:m.end()]
+        return text
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, texts = [], []
+            for r, (text, size, taken) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("text", "_size", "_taken")))):
+                copies, rest = divmod(taken, size)
+                rows += [r] * (copies + (rest > 0))
+                texts += [text] * copies + [part(text, rest)] * (rest > 0)
+            out = batch.select(names).take(pa.array(rows, pa.int64()))
+            yield out.set_column(names.index("text"), "text", pa.array(texts, pa.string()))
+    return run
+
+
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The documents as often, and as far, as the mix takes them, with their columns.
+
+    A document taken for 2.3 times its size occurs as two whole copies and one
+    with the first 0.3 of its words; one taken for nothing is left out.
+    """
+    small_batches(docs.sparkSession)
+    plan = (mixture(docs)[0].where("taken > 0").groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_size"))
+            .agg(F.sum("taken").alias("_all"), F.count(F.lit(1)).alias("_n")))
+    sized = docs.withColumn("_words", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)))
+    return (sized.join(plan, (F.col("doc_id").eqNullSafe(F.col("_id"))) & (F.col("_words") == F.col("_size")))
+            .withColumn("_taken", F.floor(F.col("_all") / F.col("_n"))).where("_taken > 0")
+            .select(*docs.columns, "_size", "_taken").mapInArrow(_write_out(docs.columns), docs.schema)
+            .withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)))

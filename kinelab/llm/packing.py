@@ -201,7 +201,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int
     pieces = staged(docs.select("doc_id", "text").mapInArrow(_pieces(vocabulary, capacity, end_id, keep_ids), schema), "pack-pieces")
 
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # capacity rows at most
-    plan = best_fit(counts, capacity)
+    plan = best_fit(counts, capacity).sort_values(["length", "rank"])
     key = plan["length"].to_numpy() * (1 << 44) + plan["rank"].to_numpy()
     first, per, at, base = (plan[c].to_numpy() for c in ("bin", "per_bin", "offset", "rank"))
 

@@ -78,22 +78,20 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         i = j
 
 
-def _window_hashes(data: np.ndarray, off: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, ...]:
+def _window_hashes(data: np.ndarray, off: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, ...]:
     n = len(data)
     if n == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    w = is_word[data]
-    prev = np.empty(n, bool)
-    prev[0] = False
+    w = classes[data]
+    prev = np.zeros(n, w.dtype)
     prev[1:] = w[:-1]
     cuts = off[(off > 0) & (off < n)]
-    prev[cuts] = False
-    nxt = np.empty(n, bool)
-    nxt[-1] = False
+    prev[cuts] = 0
+    nxt = np.zeros(n, w.dtype)
     nxt[:-1] = w[1:]
-    nxt[cuts - 1] = False
-    starts = np.flatnonzero(w & ~prev)
-    ends = np.flatnonzero(w & ~nxt) + 1
+    nxt[cuts - 1] = 0
+    starts = np.flatnonzero((w != 0) & (w != prev))
+    ends = np.flatnonzero((w != 0) & (w != nxt)) + 1
     _powers(n + 1)
     acc = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTE[data] * _POW[:n], out=acc[1:])
@@ -101,25 +99,26 @@ def _window_hashes(data: np.ndarray, off: np.ndarray, is_word: np.ndarray) -> tu
     return starts, ends, mix(h)
 
 
-def word_hashes(data: np.ndarray, off: np.ndarray, is_word: np.ndarray,
+def word_hashes(data: np.ndarray, off: np.ndarray, classes: np.ndarray,
                 lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """(row of each word, 64-bit hash of each word), in text order.
 
+    A word is a run of bytes of one class, 0 being no class at all.
     ``data``/``off`` are a slice from :func:`slices` with ``off[0] == 0``.
     """
     if len(data) <= 2 * SLICE_BYTES:
         d = _LOWER[data] if lower else data
-        s, _, h = _window_hashes(d, off, is_word)
+        s, _, h = _window_hashes(d, off, classes)
         return np.searchsorted(off, s, side="right") - 1, h
     rows, hashes = [], []
     for r in range(len(off) - 1):  # a slice this large holds one very long text
         a, b = int(off[r]), int(off[r + 1])
         while a < b:
             e = min(a + SLICE_BYTES, b)
-            while e < b and is_word[data[e - 1]] and is_word[data[e]]:  # do not cut a word
+            while e < b and classes[data[e]] and classes[data[e - 1]] == classes[data[e]]:  # do not cut a word
                 e += 1
             d = _LOWER[data[a:e]] if lower else data[a:e]
-            h = _window_hashes(d, np.array([0, e - a]), is_word)[2]
+            h = _window_hashes(d, np.array([0, e - a]), classes)[2]
             rows.append(np.full(len(h), r, np.int64))
             hashes.append(h)
             a = e

@@ -1,0 +1,46 @@
+"""The corpus pipeline: each stage's decisions take effect."""
+
+from collections import Counter
+
+import corpus_pipeline as P
+from kinelab.llm.common import documents, staged
+from kinelab.llm.mixing import mixture
+from kinelab.llm.neardup import near_duplicates
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_stages(spark):
+    assert [n for n, _ in P.STAGES] == ["quality", "near_duplicates", "mixture", "packing"]
+    docs = documents(spark, SF)
+    kept = staged(P.quality(spark, docs, SF), "t-quality")
+    assert kept.columns == docs.columns and 0 < kept.count() < docs.count()
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    left = {r["doc_id"] for r in kept.collect()}
+    assert sum(i in left for i, q in labels.items() if q == 1) >= 0.99 * sum(q == 1 for q in labels.values())
+    assert sum(i in left for i, q in labels.items() if q == 0) <= 0.2 * sum(q == 0 for q in labels.values())
+
+    alone = staged(P.near_duplicate(spark, kept, SF), "t-near")
+    assert alone.columns == docs.columns
+    groups = {r["doc_id"]: r["component_id"] for r in near_duplicates(kept).collect()}
+    assert sorted(r["doc_id"] for r in alone.collect()) == sorted(set(groups.values())) and alone.count() < kept.count()
+
+    mixed = staged(P.mixture(spark, alone, SF), "t-mix")
+    assert mixed.columns == docs.columns
+    taken = {r["doc_id"]: r["taken"] for r in mixture(alone)[0].collect() if r["taken"]}
+    got = Counter()
+    for r in mixed.collect():
+        got[r["doc_id"]] += len(r["text"].split())
+    assert got == taken
+
+    packed = P.packing(spark, mixed, SF)
+    assert Counter(r["doc_id"] for r in packed.where("piece = 0").collect()) == Counter(r["doc_id"] for r in mixed.collect())
+    assert P.run(spark, SF).count() == packed.count()
+
+
+def test_documents_without_id_stay_apart(spark):
+    docs = spark.createDataFrame([(None, "a b c d", "en", "s", 7), (None, "a b c d", "en", "s", 7), (None, "other words here", "en", "s", 16),
+                                  (1, "x y z", "en", "s", 5), (1, "x y z", "en", "s", 5), (2, None, "en", None, None)],
+                                 documents(spark, SF).schema)
+    out = sorted((r["doc_id"] or 0, r["text"] or "") for r in P.near_duplicate(spark, docs, SF).collect())
+    assert out == [(0, "a b c d"), (0, "other words here"), (1, "x y z"), (2, "")]
