@@ -41,6 +41,8 @@ LABEL = "is_intoxicated"
 # As-of join: readings at or below this many rows are broadcast (Plan A);
 # above it the bucketed shuffle plan (Plan C) is used.
 ASOF_BROADCAST_MAX_ROWS = 2_000_000
+# ... and this many bytes of keys, times and values.
+ASOF_BROADCAST_MAX_BYTES = 256 << 20
 # As-of join: coarse time bucket used as a second equi-join key, so a key
 # with very many readings is split by time instead of landing in one task.
 ASOF_BUCKET_SECONDS = 86_400
@@ -49,9 +51,9 @@ ASOF_BUCKET_SECONDS = 86_400
 # buckets per key.
 ASOF_MIN_BUCKET_SECONDS = 3_600
 ASOF_MAX_BUCKET_SECONDS = 86_400
-# Plan A: intervals spanning more than this many buckets go to the per-key
-# table instead of being exploded over buckets (bounds the broadcast to
-# ASOF_MAX_EXPLODE x the reading count).
+# Plan A: an interval is exploded over fewer than this many buckets; longer
+# ones use wider buckets (bounds the broadcast to ASOF_MAX_EXPLODE x the
+# reading count).
 ASOF_MAX_EXPLODE = 8
 # Fold ranking: rows are ranked inside (label, key, time bucket) groups.
 FOLD_BUCKET_SECONDS = 86_400

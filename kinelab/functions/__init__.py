@@ -65,8 +65,8 @@ def key_from_name(name, pattern: str = C.KEY_PATTERN) -> Column:
 
 
 def json_field(c, field: str, dtype: str = "double") -> Column:
-    """one JSON field as a typed column."""
-    return F.get_json_object(_c(c), f"$.{field}").cast(dtype)
+    """one JSON field as a typed column; NULL where the text is not of that type."""
+    return F.get_json_object(_c(c), f"$.{field}").try_cast(dtype)
 
 
 def bool_text(c) -> Column:

@@ -74,8 +74,8 @@ def training_shares(counts: DataFrame, epsilon: float = C.PSI_EPSILON) -> DataFr
     ``counts`` is the small class-count table (targets x categories).
     """
     total = F.sum("cnt").over(Window.partitionBy("target"))
-    return counts.select("target", "category",
-                         (F.col("cnt") / total + F.lit(epsilon)).alias("p"))
+    return counts.withColumn("_total", total).where(F.col("_total") > 0).select("target", "category",
+                         (F.col("cnt") / F.col("_total") + F.lit(epsilon)).alias("p"))
 
 
 def psi(train_counts: DataFrame, latest: DataFrame, targets: Sequence[str] = C.DRIFT_TARGETS,
@@ -84,7 +84,7 @@ def psi(train_counts: DataFrame, latest: DataFrame, targets: Sequence[str] = C.D
 
     Categories are aligned by a full outer join on (target, category); a
     category absent on one side has share eps there. Targets without live
-    rows give no row (the guard of T4 propagates).
+    or without reference rows give no row (the guard of T4 propagates).
     """
     p = training_shares(train_counts, epsilon)
     q = live_shares(latest, targets, epsilon)
@@ -93,8 +93,9 @@ def psi(train_counts: DataFrame, latest: DataFrame, targets: Sequence[str] = C.D
     qq = F.coalesce(F.col("q"), F.lit(epsilon))
     return (j.groupBy("target")
             .agg(F.sum((qq - pp) * F.log(qq / pp)).alias("psi"),
-                 F.count_if(F.col("q").isNotNull()).alias("_live"))
-            .where(F.col("_live") > 0).drop("_live"))
+                 F.count_if(F.col("q").isNotNull()).alias("_live"),
+                 F.count_if(F.col("p").isNotNull()).alias("_ref"))
+            .where((F.col("_live") > 0) & (F.col("_ref") > 0)).drop("_live", "_ref"))
 
 
 def psi_pairs(pairs: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinelab import config as C
-from kinelab.functions import energy, magnitude, threshold_label
+from kinelab.functions import energy, magnitude, ms_to_seconds, threshold_label
 
 
 def with_energy_magnitude(df: DataFrame) -> DataFrame:
@@ -35,7 +35,16 @@ def training_features(df: DataFrame, threshold: float = C.LABEL_THRESHOLD,
 
 
 def scoring_features(df: DataFrame, order: Sequence[str] = C.FEATURE_ORDER) -> DataFrame:
-    """M2 + P7: features in the fixed model order; absent inputs become NULL."""
+    """M2 + P7: features in the fixed model order; absent inputs become NULL.
+
+    Requests carry epoch milliseconds, the training table epoch seconds; the
+    conversion (F3) happens here, at the boundary.
+    """
+    have = [c for c in ("x", "y", "z") if c not in df.columns]
+    for c in have:
+        df = df.withColumn(c, F.lit(None).cast("double"))
+    if "time" in df.columns:
+        df = df.withColumn("time", ms_to_seconds("time"))
     return ordered_columns(with_energy_magnitude(df), order)
 
 

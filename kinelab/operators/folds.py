@@ -27,6 +27,37 @@ def _groups(d: DataFrame, label: str, key: str) -> DataFrame:
     return d.groupBy(label, key, "_fb").agg(F.count(F.lit(1)).alias("_gn"))
 
 
+def _null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL meets NULL; the columns of ``on`` come from the left."""
+    names = {c: f"_r_{c}" for c in on}
+    r = right.withColumnsRenamed(names)
+    cond = [left[c].eqNullSafe(r[n]) for c, n in names.items()]
+    return left.join(r, cond, how).drop(*names.values())
+
+
+def _key_offsets(per_key: DataFrame, label: str, key: str) -> DataFrame:
+    """(label, key, _koff): rows of the label's smaller keys.
+
+    Two levels: the key table is range-partitioned and written once, rows are
+    summed inside each (label, partition), then over the partitions (one row
+    per partition and label). No task holds all keys of a label.
+    """
+    from kinelab.session import scratch_path
+    spark = per_key.sparkSession
+    path = scratch_path(spark, "fold-keys")
+    (per_key.repartitionByRange(F.col(key)).withColumn("_kp", F.spark_partition_id())
+     .write.mode("overwrite").parquet(path))
+    keys = spark.read.parquet(path)
+    before = Window.unboundedPreceding
+    parts = (keys.groupBy(label, "_kp").agg(F.sum("_kn").alias("_pn"))
+             .withColumn("_poff", F.coalesce(F.sum("_pn").over(
+                 Window.partitionBy(label).orderBy("_kp").rowsBetween(before, -1)), F.lit(0))).drop("_pn"))
+    inside = Window.partitionBy(label, "_kp").orderBy(key).rowsBetween(before, -1)
+    return (keys.withColumn("_ioff", F.coalesce(F.sum("_kn").over(inside), F.lit(0)))
+            .join(parts, on=[label, "_kp"])
+            .select(label, key, (F.col("_poff") + F.col("_ioff")).alias("_koff")))
+
+
 def class_rank(d: DataFrame, groups: DataFrame, label: str, key: str, time_col: str,
                tiebreak: Sequence[str] = ()) -> DataFrame:
     """Adds ``_rank``: 0-based position of the row among rows of its class.
@@ -38,17 +69,15 @@ def class_rank(d: DataFrame, groups: DataFrame, label: str, key: str, time_col:
     # per bucket of that key's span). No window sees the raw rows.
     before = Window.unboundedPreceding
     per_key = groups.groupBy(label, key).agg(F.sum("_gn").alias("_kn"))
-    key_off = per_key.withColumn(
-        "_koff", F.coalesce(F.sum("_kn").over(
-            Window.partitionBy(label).orderBy(key).rowsBetween(before, -1)), F.lit(0))).drop("_kn")
-    offsets = (groups.withColumn("_boff", F.coalesce(F.sum("_gn").over(
+    key_off = _key_offsets(per_key, label, key)
+    boff = groups.withColumn("_boff", F.coalesce(F.sum("_gn").over(
         Window.partitionBy(label, key).orderBy("_fb").rowsBetween(before, -1)), F.lit(0)))
-        .join(key_off, on=[label, key])
-        .select(label, key, "_fb", (F.col("_koff") + F.col("_boff")).alias("_off")))
+    offsets = (_null_safe(boff, key_off, [label, key])
+               .select(label, key, "_fb", (F.col("_koff") + F.col("_boff")).alias("_off")))
     order = [F.col(time_col)] + [F.col(c) for c in tiebreak]
     wr = Window.partitionBy(label, key, "_fb").orderBy(*order)
     ranked = d.withColumn("_rn", F.row_number().over(wr))
-    return (ranked.join(offsets, on=[label, key, "_fb"], how="left")
+    return (_null_safe(ranked, offsets, [label, key, "_fb"], "left")
             .withColumn("_rank", F.col("_off") + F.col("_rn") - 1)
             .drop("_fb", "_rn", "_off"))
 
@@ -70,7 +99,7 @@ def class_order(d: DataFrame, groups: DataFrame, label: str, key: str, time_col:
         F.sum("_gn").alias("_n"))
     fg = first_group.select(label, F.col("_fg.k").alias(key), F.col("_fg.b").alias("_fb"))
     first = F.struct(*[F.col(c) for c in (key, time_col, *tiebreak)])
-    firsts = (d.join(F.broadcast(fg), on=[label, key, "_fb"])
+    firsts = (_null_safe(d, F.broadcast(fg), [label, key, "_fb"])
               .groupBy(label).agg(F.min(first).alias("_first")))
     return first_group.select(label, "_n").join(firsts, on=label)
 

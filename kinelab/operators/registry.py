@@ -92,7 +92,7 @@ def create_if_absent(registry: DataFrame, wanted: DataFrame) -> DataFrame:
     shuffle on run_name of the distinct wanted names and registry names.
     """
     names = registry.select("run_name").distinct()
-    new = wanted.join(names, on="run_name", how="left_anti")
+    new = wanted.dropDuplicates(["run_name"]).join(names, on="run_name", how="left_anti")
     if "run_id" not in new.columns:
         new = new.withColumn("run_id", F.concat(F.lit("run-"), F.col("run_name").cast("string")))
     return new.select("run_id", "run_name", F.lit(None).cast("timestamp").alias("end_time"))

@@ -15,12 +15,12 @@ def sample_rows(df: DataFrame, fraction: float = C.SAMPLE_RATE, seed: int = C.SE
     """Bernoulli sample.
 
     At 1.0 no Sample node is added (it would block predicate pushdown).
-    With ``keys`` the sample is a hash of the keys, repeatable whatever the
-    partitioning; without, Spark's seeded ``sample``.
+    With ``keys`` the sample is a prefix of the MD5 of the keys, repeatable
+    whatever the partitioning or the engine; without, Spark's seeded ``sample``.
     """
     if fraction >= 1.0:
         return df
     if keys:
-        h = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)), F.lit(1_000_000))
-        return df.where(h < F.lit(int(fraction * 1_000_000)))
+        text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+        return df.where(F.substring(F.md5(text), 1, 8) < F.lit(f"{int(fraction * (1 << 32)):08x}"))
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)

@@ -206,6 +206,14 @@ def q_w2_stratified_folds(spark, d):
     return f.select(C.KEY, C.TIME_MS, "event_id", C.LABEL, "fold")
 
 
+def q_w2_null_key(spark, d):
+    """Every seventh row without a key: such rows get a fold like any other."""
+    s = (tb.sensor_events(spark, d).withColumn(C.KEY, F.when(F.col("event_id") % 7 != 0, F.col(C.KEY)))
+         .withColumn(C.LABEL, (F.col("x") / F.lit(500.0)) >= F.lit(C.LABEL_THRESHOLD)))
+    f = folds.stratified_folds(s, C.LABEL, C.KEY, C.TIME_MS, tiebreak=("event_id",), time_per_s=1000.0)
+    return f.select(C.KEY, C.TIME_MS, "event_id", C.LABEL, "fold")
+
+
 def q_a8_binary_metrics(spark, d):
     m = binary_metrics(tb.truth_and_prediction(spark, d), "y_true", "y_pred")
     return m.select(*[F.col(c).cast("bigint") for c in ("tp", "fp", "fn", "tn")],
@@ -227,6 +235,14 @@ def q_t6_create_if_absent(spark, d):
     return registry.create_if_absent(tb.run_registry(spark, d), wanted).select("run_id", "run_name")
 
 
+def q_t6_absent_and_repeated(spark, d):
+    """Names that the registry has, names it lacks, and names asked for twice: one new run per absent name."""
+    have = tb.table(spark, d, "orders").select(F.col("o_custkey").alias("run_name"))
+    lack = tb.table(spark, d, "customer").select((-F.col("c_custkey") - 1).alias("run_name"))
+    wanted = have.unionByName(lack).unionByName(lack)
+    return registry.create_if_absent(tb.run_registry(spark, d), wanted).select("run_id", "run_name")
+
+
 def q_p11_unfinished(spark, d):
     return registry.unfinished(tb.run_registry(spark, d)).select("run_id", "run_name")
 
@@ -271,11 +287,72 @@ def q_s12_metrics_table(spark, d):
     path = scratch_path(spark, "metrics")
     scored = tb.scored_log(spark, d)
     tel.append_metrics(tel.metric_rows(opsmetrics.prediction_counts(scored), "predictions", "cnt",
-                                       "pred", "pred"), path)
+                                       "pred", "pred"), path, "predictions")
     tel.append_metrics(tel.metric_rows(opsmetrics.latency_summary(scored), "request_count", "count"),
-                       path)
-    return spark.read.schema(schemas.METRIC).parquet(path).select(
-        "metric", "label_key", "label_value", r6("value").alias("value"))
+                       path, "latency")
+    return tel.read_metrics(spark, path).select("metric", "label_key", "label_value", r6("value").alias("value"))
+
+
+def _two_targets(spark, d):
+    return tb.scored_log(spark, d).withColumn("is_slow", F.col("latency_s") > F.lit(5.0))
+
+
+def _psi_two_targets(spark, d):
+    targets = (C.LABEL, "is_slow")
+    log = _two_targets(spark, d)
+    m = _median_split_us(log)
+    counts = drift.class_counts(log.where(F.unix_micros(F.col("ts")) < F.lit(m)), targets)
+    return drift.psi(counts, drift.latest_n(log, C.LIVE_ROWS), targets)
+
+
+def q_a6_psi_two_targets(spark, d):
+    return _psi_two_targets(spark, d).select("target", r6("psi").alias("psi"))
+
+
+def q_s12_psi_metrics(spark, d):
+    """PSI per target as rows of the metrics table; a second write of the run replaces the first."""
+    path = scratch_path(spark, "psi_metrics")
+    rows = tel.metric_rows(_psi_two_targets(spark, d), "psi", "psi", "target", "target")
+    for _ in range(2):
+        tel.append_metrics(rows, path, "drift")
+    return tel.read_metrics(spark, path).select("metric", "label_key", "label_value", r6("value").alias("value"))
+
+
+def q_t4_live_guard(spark, d):
+    """Live shares of the newest rows: none while there are fewer than asked for."""
+    log = tb.scored_log(spark, d)
+    short = drift.latest_n(drift.latest_n(log, C.LIVE_ROWS - 1), C.LIVE_ROWS)
+    full = drift.latest_n(log, C.LIVE_ROWS)
+    parts = [drift.live_shares(x).select(F.lit(n).alias("log"), "target", "category", r6("q").alias("q"))
+             for n, x in (("short", short), ("full", full))]
+    return parts[0].unionByName(parts[1])
+
+
+def q_p4_p5_training_columns(spark, d):
+    """P4 + P5: features in model order and the label; key and raw reading are gone."""
+    xy = features.split_xy(features.training_features(_labelled_events(spark, d)))
+    return xy.select("time", *[r6(c).alias(c) for c in ("x", "y", "z", "energy", "magnitude")], C.LABEL)
+
+
+def q_f6_reading_datetime(spark, d):
+    r = csvsrc.readings_with_datetime(tb.readings_events(spark, d))
+    return r.select(C.KEY, C.READING_TIME, F.date_format("reading_ts", "yyyy-MM-dd HH:mm:ss").alias("reading_at"))
+
+
+def q_r1_sample_half(spark, d):
+    """R1 below 1.0: half of the windows, by a hash of their key and time."""
+    return _labelled_out(sample_rows(_labelled_events(spark, d), 0.5, C.SEED, keys=[C.KEY, "time"]))
+
+
+def _j1_fractional(plan):
+    """BIGINT times on the left, readings half a second later: none may attach to its own second."""
+    def q(spark, d):
+        r = tb.readings_events(spark, d)
+        left = r.select(C.KEY, F.col(C.READING_TIME).alias(C.WINDOW_START)).distinct()
+        late = r.withColumn(C.READING_TIME, F.col(C.READING_TIME) + F.lit(0.5))
+        j = asof_join(left, late, C.KEY, C.WINDOW_START, C.READING_TIME, [C.READING], tiebreak="tiebreak", plan=plan)
+        return j.select(C.KEY, C.WINDOW_START, r6(C.READING).alias(C.READING))
+    return q
 
 
 # ------------------------------------------------------------ T1, U2
@@ -301,18 +378,62 @@ def q_f7_f8_file_keys(spark, d):
     return csvsrc.file_keys(pages).select("page_id", "base_name", C.KEY)
 
 
-def q_s1_readings_folder(spark, d):
-    """Readings written as one folder per key file, read back with keys from names."""
-    r = tb.readings_events(spark, d).select(
-        C.READING_TIME, C.READING,
-        F.concat(F.lit("AB"), F.lpad(F.col(C.KEY).cast("string"), 4, "0"),
-                 F.lit(C.LABEL_FILE_SUFFIX)).alias("label_file"))
+#: Two letters and at least four digits: names stay unique beyond 9,999.
+LONG_KEY = r"([A-Z]{2}\d{4,})"
+
+
+def _label_file(key) -> F.Column:
+    return F.format_string(f"AB%04d{C.LABEL_FILE_SUFFIX}", key)
+
+
+def _s1_roundtrip(spark, d, key):
+    r = tb.readings_events(spark, d).select(C.READING_TIME, C.READING, _label_file(key).alias("label_file"))
     path = scratch_path(spark, "readings_csv")
     csvsrc.write_readings_folder(r, path)
-    return csvsrc.read_readings_folder(spark, path, key_from="parent_dir").select(
+    return csvsrc.read_readings_folder(spark, path, pattern=LONG_KEY, key_from="parent_dir").select(
         C.READING_TIME, C.READING, C.KEY)
 
 
+def q_s1_readings_folder(spark, d):
+    """Readings written as one folder per key file, read back with keys from names."""
+    return _s1_roundtrip(spark, d, F.col(C.KEY))
+
+
+def q_s1_long_keys(spark, d):
+    """Keys on both sides of 9,999 stay apart."""
+    return _s1_roundtrip(spark, d, F.col(C.KEY) * 10 + 9_000)
+
+
+def _mixed_files(spark, d) -> str:
+    """Reading files in two header layouts, some under a name without a key (P9), some lines without a number."""
+    r = tb.readings_events(spark, d)
+    path = scratch_path(spark, "mixed_csv")
+    named = F.when(F.col("tiebreak") % 10 != 0, _label_file(F.col(C.KEY))).otherwise(F.lit("unknown.csv"))
+    t = F.when(F.col("tiebreak") % 13 == 0, F.lit("bad"))
+    a = r.where("tiebreak % 2 = 0").select(F.coalesce(t, F.col(C.READING_TIME).cast("string")).alias(C.READING_TIME),
+                                           C.READING, named.alias("label_file"))
+    b = r.where("tiebreak % 2 <> 0").select(C.READING, F.lit("a,b").alias("note"),
+                                            F.coalesce(t, F.col(C.READING_TIME).cast("double").cast("string")).alias(C.READING_TIME),
+                                            named.alias("label_file"))
+    csvsrc.write_readings_folder(a, path)
+    csvsrc.write_readings_folder(b, path, mode="append")
+    return path
+
+
+def q_s1_mixed_headers(spark, d):
+    """Both layouts by name, nameless files skipped, an absent folder adds nothing."""
+    found = csvsrc.read_readings_folder(spark, _mixed_files(spark, d), pattern=LONG_KEY, key_from="parent_dir")
+    none = csvsrc.read_readings_folder(spark, scratch_path(spark, "absent"), pattern=LONG_KEY)
+    return found.unionByName(none).select(C.READING_TIME, C.READING, C.KEY)
+
+
+def q_s1_rejected_lines(spark, d):
+    """Lines without a numeric time are returned and counted, not lost."""
+    parsed = csvsrc.parse_readings_folder(spark, _mixed_files(spark, d), pattern=LONG_KEY, key_from="parent_dir")
+    return (parsed.rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit("rows").alias("kind"), "n")
+            .unionByName(parsed.rejected.agg(F.count(F.lit(1)).alias("n")).select(F.lit("rejected").alias("kind"), "n")))
+
+
 def q_s2_sensor_csv(spark, d):
     """Sensor samples written as CSV, read back with an explicit schema, windowed."""
     path = scratch_path(spark, "sensor_csv")
@@ -320,6 +441,15 @@ def q_s2_sensor_csv(spark, d):
     return _windows_out(tumbling_mean(csvsrc.read_sensor_csv(spark, path), DAY))
 
 
+def q_s2_sensor_csv_header_order(spark, d):
+    """Files of one folder that order their columns differently."""
+    path = scratch_path(spark, "sensor_csv")
+    s = tb.sensor_events(spark, d)
+    csvsrc.write_sensor_csv(s.where("event_id % 2 = 0"), path, ("time", "pid", "x", "y", "z"))
+    csvsrc.write_sensor_csv(s.where("event_id % 2 <> 0"), path, ("z", "y", "x", "pid", "time"), mode="append")
+    return _windows_out(tumbling_mean(csvsrc.read_sensor_csv(spark, path), DAY))
+
+
 # ------------------------------------------------------------------ SQL
 SENSOR_A = """SELECT user_id AS pid, CAST(floor(epoch_us(ts) / 1000.0) AS BIGINT) AS time_ms, value AS x,
   CAST(json_extract_string(props, '$.k') AS DOUBLE) AS y,
@@ -400,15 +530,25 @@ sh AS (SELECT ref.f / (ref.f + ref.t) + 1e-100 AS pf, ref.t / (ref.f + ref.t) +
 SELECT 'is_intoxicated' AS target,
   round((qf - pf) * ln(qf / pf) + (qt - pt) * ln(qt / pt), 6) AS psi FROM sh"""
 
+SLOW = "latency_s > 5.0"
+_PSI_TARGET = f"""SELECT '@T' AS target, round((qf - pf) * ln(qf / pf) + (qt - pt) * ln(qt / pt), 6) AS psi FROM (
+  SELECT ref.f / (ref.f + ref.t) + 1e-100 AS pf, ref.t / (ref.f + ref.t) + 1e-100 AS pt, q.f / q.n + 1e-100 AS qf, q.t / q.n + 1e-100 AS qt
+  FROM (SELECT count(*) FILTER (WHERE NOT (@C)) AS f, count(*) FILTER (WHERE @C) AS t FROM ({LOG}) l
+        WHERE l.ts < (SELECT quantile_disc(ts, 0.5) FROM ({LOG}))) ref,
+       (SELECT count(*) AS n, count(*) FILTER (WHERE NOT (@C)) AS f, count(*) FILTER (WHERE @C) AS t FROM ({LATEST})) q WHERE q.n >= {C.LIVE_ROWS})"""
+SQL_A6 = (_PSI_TARGET.replace("@T", "is_intoxicated").replace("@C", "is_intoxicated") + " UNION ALL "
+          + _PSI_TARGET.replace("@T", "is_slow").replace("@C", SLOW))
+SQL_S12_PSI = f"SELECT 'psi' AS metric, 'target' AS label_key, target AS label_value, psi AS value FROM ({SQL_A6})"
+
 SQL_LIVE_SHARES = f"""WITH q AS (SELECT count(*) AS n, count(*) FILTER (WHERE NOT is_intoxicated) AS f,
   count(*) FILTER (WHERE is_intoxicated) AS t FROM ({LATEST}))
 SELECT 'is_intoxicated' AS target, 'false' AS category, round(f / n + 1e-100, 6) AS q FROM q WHERE n >= {C.LIVE_ROWS}
 UNION ALL
 SELECT 'is_intoxicated', 'true', round(t / n + 1e-100, 6) FROM q WHERE n >= {C.LIVE_ROWS}"""
 
-SQL_FOLDS = f"""WITH s AS (SELECT pid, time_ms, event_id, x / 500.0 >= 0.08 AS is_intoxicated
+_FOLDS_SQL = f"""WITH s AS (SELECT @KEY AS pid, time_ms, event_id, x / 500.0 >= 0.08 AS is_intoxicated
   FROM ({SENSOR_A}) WHERE x IS NOT NULL),
-o AS (SELECT *, row_number() OVER (ORDER BY pid, time_ms, event_id) AS pos FROM s),
+o AS (SELECT *, row_number() OVER (ORDER BY pid NULLS FIRST, time_ms, event_id) AS pos FROM s),
 cls AS (SELECT is_intoxicated, min(pos) AS first_pos, count(*) AS n FROM o GROUP BY 1),
 cls2 AS (SELECT is_intoxicated, n, coalesce(sum(n) OVER (ORDER BY first_pos
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS st FROM cls),
@@ -418,9 +558,24 @@ alloc AS (SELECT c.is_intoxicated, f.fold,
   FROM cls2 c CROSS JOIN (SELECT range AS fold FROM range({C.NUM_FOLDS})) f),
 b AS (SELECT is_intoxicated, fold, coalesce(sum(a) OVER (PARTITION BY is_intoxicated ORDER BY fold
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lo, a FROM alloc),
-r AS (SELECT *, row_number() OVER (PARTITION BY is_intoxicated ORDER BY pid, time_ms, event_id) - 1 AS rnk FROM s)
+r AS (SELECT *, row_number() OVER (PARTITION BY is_intoxicated ORDER BY pid NULLS FIRST, time_ms, event_id) - 1 AS rnk FROM s)
 SELECT r.pid, r.time_ms, r.event_id, r.is_intoxicated, CAST(b.fold AS INTEGER) AS fold
 FROM r JOIN b ON r.is_intoxicated = b.is_intoxicated AND r.rnk >= b.lo AND r.rnk < b.lo + b.a"""
+SQL_FOLDS = _FOLDS_SQL.replace("@KEY", "pid")
+SQL_FOLDS_NULL = _FOLDS_SQL.replace("@KEY", "CASE WHEN event_id % 7 <> 0 THEN pid END")
+
+SQL_R1_HALF = f"""SELECT time, round(x, 6) AS x, round(y, 6) AS y, round(z, 6) AS z, round(TAC_Reading, 6) AS TAC_Reading, pid
+FROM ({LABELLED_A}) WHERE substr(md5('{C.SEED}|' || pid || '|' || time), 1, 8) < '80000000'"""
+
+SQL_P4 = f"""SELECT time, round(x, 6) AS x, round(y, 6) AS y, round(z, 6) AS z, round(energy, 6) AS energy,
+  round(magnitude, 6) AS magnitude, is_intoxicated FROM ({FEATS_A})"""
+
+SQL_F6 = """SELECT user_id AS pid, CAST(floor(epoch_us(ts) / 1000000.0) AS BIGINT) AS timestamp,
+  strftime(ts, '%Y-%m-%d %H:%M:%S') AS reading_at FROM events WHERE event_type = 'purchase'"""
+
+SQL_J1_FRACTIONAL = f"""WITH r AS ({READ_A}), w AS (SELECT DISTINCT pid, rts AS window_start_s FROM r),
+h AS (SELECT pid, rts + 0.5::DOUBLE AS rts, TAC_Reading FROM r)
+SELECT w.pid, w.window_start_s, round(h.TAC_Reading, 6) AS TAC_Reading FROM w ASOF LEFT JOIN h ON w.pid = h.pid AND w.window_start_s >= h.rts"""
 
 SQL_A8 = """WITH c AS (SELECT count(*) FILTER (WHERE toxic = 1 AND quality = 0) AS tp,
   count(*) FILTER (WHERE toxic <> 1 AND quality = 0) AS fp,
@@ -452,6 +607,8 @@ SQL_W3 = f"""SELECT run_name, run_id, CAST(floor(epoch_us(end_time) / 1000000.0)
 SQL_T6 = """SELECT 'run-' || CAST(c_custkey AS VARCHAR) AS run_id, c_custkey AS run_name FROM customer c
 WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)"""
 
+SQL_T6_ABSENT = "SELECT 'run-' || CAST(-c_custkey - 1 AS VARCHAR) AS run_id, -c_custkey - 1 AS run_name FROM customer"
+
 SQL_P11 = f"SELECT run_id, run_name FROM ({REG}) WHERE end_time IS NULL"
 
 SQL_A14 = f"""SELECT run_name, CAST(floor(epoch_us(max(end_time)) / 1000000.0) AS BIGINT) AS last_end_s
@@ -490,8 +647,15 @@ UNION ALL SELECT 'request_count', NULL, NULL, round(CAST(count(latency_s) AS DOU
 SQL_F7 = f"""SELECT page_id, string_split(url, '/')[-1] AS base_name,
   regexp_extract(string_split(url, '/')[-1], '{C.KEY_PATTERN}', 1) AS pid FROM pages"""
 
-SQL_S1 = """SELECT CAST(floor(epoch_us(ts) / 1000000.0) AS BIGINT) AS timestamp, value / 500.0 AS TAC_Reading,
-  'AB' || lpad(CAST(user_id AS VARCHAR), 4, '0') AS pid FROM events WHERE event_type = 'purchase'"""
+def _s1_sql(key: str, where: str = "") -> str:
+    return f"""SELECT CAST(floor(epoch_us(ts) / 1000000.0) AS BIGINT) AS timestamp, value / 500.0 AS TAC_Reading,
+  'AB' || printf('%04d', {key}) AS pid FROM events WHERE event_type = 'purchase' {where}"""
+
+
+SQL_S1 = _s1_sql("user_id")
+SQL_S1_MIXED = _s1_sql("user_id", "AND event_id % 10 <> 0 AND event_id % 13 <> 0")
+SQL_S1_REJECTED = """SELECT 'rows' AS kind, count(*) FILTER (WHERE event_id % 13 <> 0) AS n FROM events WHERE event_type = 'purchase' AND event_id % 10 <> 0
+UNION ALL SELECT 'rejected', count(*) FILTER (WHERE event_id % 13 = 0) FROM events WHERE event_type = 'purchase' AND event_id % 10 <> 0"""
 
 SQL_S2 = f"""SELECT CAST(pid AS VARCHAR) AS pid, window_start_s, round(x, 6) AS x, round(y, 6) AS y,
   round(z, 6) AS z FROM ({WIN_A})"""
@@ -508,7 +672,7 @@ UNION ALL
 SELECT o_custkey, CAST(floor(epoch_us(o_orderdate) / 1000000.0) AS BIGINT), round(o_totalprice / 1e6, 6),
   CAST(NULL AS BIGINT), o_orderkey FROM orders"""
 
-SQL_S9 = f"""SELECT time_ms AS time, x, y, z, round(x * x + y * y + z * z, 6) AS energy,
+SQL_S9 = f"""SELECT time_ms / 1000.0::DOUBLE AS time, x, y, z, round(x * x + y * y + z * z, 6) AS energy,
   round(sqrt(x * x + y * y + z * z), 6) AS magnitude FROM ({SENSOR_A})"""
 
 
@@ -554,6 +718,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "u2_union_aligned": q_u2_union_aligned,
     "s1_readings_folder": q_s1_readings_folder,
     "s2_sensor_csv": q_s2_sensor_csv,
+    "s2_sensor_csv_header_order": q_s2_sensor_csv_header_order,
+    "s1_long_keys": q_s1_long_keys,
+    "s1_mixed_headers": q_s1_mixed_headers,
+    "s1_rejected_lines": q_s1_rejected_lines,
+    "w2_null_key": q_w2_null_key,
+    "j1_fractional_times_broadcast": _j1_fractional("broadcast"),
+    "j1_fractional_times_bucketed": _j1_fractional("bucketed"),
+    "j1_fractional_times_union": _j1_fractional("union"),
+    "r1_sample_half": q_r1_sample_half,
+    "t6_absent_and_repeated": q_t6_absent_and_repeated,
+    "t4_live_guard": q_t4_live_guard,
+    "a6_psi_two_targets": q_a6_psi_two_targets,
+    "s12_psi_metrics": q_s12_psi_metrics,
+    "p4_p5_training_columns": q_p4_p5_training_columns,
+    "f6_reading_datetime": q_f6_reading_datetime,
 }
 
 SQL: dict[str, str] = {
@@ -598,4 +777,19 @@ SQL: dict[str, str] = {
     "u2_union_aligned": SQL_U2,
     "s1_readings_folder": SQL_S1,
     "s2_sensor_csv": SQL_S2,
+    "s2_sensor_csv_header_order": SQL_S2,
+    "s1_long_keys": _s1_sql("user_id * 10 + 9000"),
+    "s1_mixed_headers": SQL_S1_MIXED,
+    "s1_rejected_lines": SQL_S1_REJECTED,
+    "w2_null_key": SQL_FOLDS_NULL,
+    "j1_fractional_times_broadcast": SQL_J1_FRACTIONAL,
+    "j1_fractional_times_bucketed": SQL_J1_FRACTIONAL,
+    "j1_fractional_times_union": SQL_J1_FRACTIONAL,
+    "r1_sample_half": SQL_R1_HALF,
+    "t6_absent_and_repeated": SQL_T6_ABSENT,
+    "t4_live_guard": f"SELECT 'full' AS log, target, category, q FROM ({SQL_LIVE_SHARES})",
+    "a6_psi_two_targets": SQL_A6,
+    "s12_psi_metrics": SQL_S12_PSI,
+    "p4_p5_training_columns": SQL_P4,
+    "f6_reading_datetime": SQL_F6,
 }

@@ -38,7 +38,7 @@ def labelled_windows(samples: DataFrame, readings: DataFrame, size_s: int = C.WI
         tiebreak = None
     stats = None
     if plan == "auto":
-        stats = reading_stats(readings, C.KEY, C.READING_TIME)
+        stats = reading_stats(readings, C.KEY, C.READING_TIME, [C.READING])
         plan = choose_plan(readings, C.KEY, C.READING_TIME, stats=stats)
         if plan == "bucketed" and bucket_s is None:
             bucket_s = auto_bucket(stats)
@@ -62,16 +62,25 @@ class StagePaths:
     state: str
     model: str
     scores: str
+    metrics: str = ""
+    class_distribution: str = ""
+    registry: str = ""
 
 
 def run_pipeline(spark: SparkSession, paths: StagePaths, stages=("preprocess", "features", "training"),
-                 sample_rate: float = C.SAMPLE_RATE, seed: int = C.SEED, forest: dict | None = None):
+                 sample_rate: float = C.SAMPLE_RATE, seed: int = C.SEED, forest: dict | None = None,
+                 run_name: str = "forest", run_id: str = "run-1"):
     """M9: preprocess -> features -> training, handing over through tables.
 
     Every stage reads the previous stage's table, so a lost executor only
-    recomputes the current stage.
+    recomputes the current stage. Where the paths name the tables, the
+    training stage opens a run before it fits and finishes it at the end (T6),
+    writes the fold means (A7), the mean accuracy, the time of the training
+    and the training rows as the run's metrics (S12), and the class
+    distribution of the features (S6).
     """
-    from kinelab.operators import folds, model
+    from kinelab.operators import drift, folds, model, opsmetrics, registry
+    from kinelab.sources import telemetry as tel
     out = {}
     if "preprocess" in stages:
         data = sample_rows(read_partitioned(spark, paths.labelled, schemas.LABELLED), sample_rate, seed)
@@ -82,20 +91,65 @@ def run_pipeline(spark: SparkSession, paths: StagePaths, stages=("preprocess", "
         write_stage(feats, paths.features)
     if "training" in stages:
         feats = read_stage(spark, paths.features)
+        if paths.registry:
+            _open_run(spark, paths.registry, run_name, run_id)
+        if paths.class_distribution:
+            tel.write_class_distribution(drift.class_counts(feats), paths.class_distribution)
         train = model.training_frame(
             folds.stratified_folds(feats, tiebreak=(), time_col="time"))
-        n = spark.sparkContext.defaultParallelism
-        write_stage(train.repartition(n), paths.features + "_train")
+        write_stage(spread(train), paths.features + "_train")
         train = read_stage(spark, paths.features + "_train").cache()
         scores = model.cross_validate(train, **(forest or {}))
         write_stage(scores, paths.scores)
         fitted = model.fit_forest(train.drop("fold"), **(forest or {}))
         model.save_model(fitted, paths.model)
         out["model"] = fitted
+        if paths.metrics:
+            means = opsmetrics.fold_metric_means(read_stage(spark, paths.scores))
+            done = spark.range(1).select(F.unix_seconds(F.current_timestamp()).cast("double").alias("v"))
+            rows = (tel.metric_rows(means, "fold_mean", "value", "name", "name")
+                    .unionByName(tel.metric_rows(means.where("name = 'test_accuracy'"), "mean_accuracy", "value"))
+                    .unionByName(tel.metric_rows(done, "last_train_time", "v"))
+                    .unionByName(tel.metric_rows(train.groupBy().count(), "training_rows", "count")))
+            tel.append_metrics(rows, paths.metrics, run_id)
+        if paths.registry:
+            _finish_run(spark, paths.registry, run_id)
         train.unpersist()
     return out
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A training table over enough partitions: MLlib's parallelism follows its input's.
+
+    The count is the session's shuffle partitions (sized for the data by the
+    deployment), at least the cores.
+    """
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def _registry_versions(path: str, run_id: str) -> tuple[str, str]:
+    return f"{path}/opened={run_id}", f"{path}/finished={run_id}"
+
+
+def _open_run(spark: SparkSession, path: str, run_name: str, run_id: str) -> None:
+    wanted = spark.range(1).select(F.lit(run_id).alias("run_id"), F.lit(run_name).alias("run_name"),
+                                   F.lit(None).cast("timestamp").alias("end_time"))
+    wanted.write.mode("overwrite").parquet(_registry_versions(path, run_id)[0])
+
+
+def _finish_run(spark: SparkSession, path: str, run_id: str) -> None:
+    opened, finished = _registry_versions(path, run_id)
+    (spark.read.schema(schemas.REGISTRY).parquet(opened).withColumn("end_time", F.current_timestamp())
+     .write.mode("overwrite").parquet(finished))
+
+
+def read_registry(spark: SparkSession, path: str) -> DataFrame:
+    """One row per run: its finished version where there is one."""
+    events = spark.read.option("recursiveFileLookup", "true").schema(schemas.REGISTRY).parquet(path)
+    return events.groupBy("run_id", "run_name").agg(F.max("end_time").alias("end_time"))
+
+
 def write_labelled(df: DataFrame, path: str) -> None:
     """S3 for the labelled table."""
     write_partitioned(df, path, key=C.KEY, order="time")

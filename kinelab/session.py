@@ -25,11 +25,6 @@ def get_session(master: str | None = None, app: str = "kinelab",
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    if master and master.startswith("local"):
-        # One machine: listing partition folders on the driver beats a
-        # distributed listing job (about 10x for 1,500 key folders). On a
-        # cluster Spark's default threshold stands.
-        conf["spark.sql.sources.parallelPartitionDiscovery.threshold"] = "100000"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -48,7 +43,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and must be a shared
-    file system; we only pick our own folder when it is unset (tests).
+    file system; we only pick our own folder when it is unset and the
+    executors run on this machine (tests). Elsewhere an unset folder is an
+    error: each executor would write to a folder of its own.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
@@ -56,6 +53,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     key = id(sc)
     if key not in _LOCAL_ROOTS:
         local = tempfile.mkdtemp(prefix="run-", dir="/tmp")

@@ -19,8 +19,9 @@ def write_partitioned(df: DataFrame, path: str, key: str = C.KEY, order: str | N
     samples its input once, so pass a written (or cheap) input.
     """
     cols = [key] + ([order] if order and order in df.columns else [])
-    n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
-    (df.repartitionByRange(n, *[F.col(c) for c in cols])
+    # Without a count, adaptive execution sizes the partitions from the data.
+    args = ([num_partitions] if num_partitions else []) + [F.col(c) for c in cols]
+    (df.repartitionByRange(*args)
      .write.mode("overwrite").partitionBy(key).parquet(path))
 
 
@@ -44,3 +45,11 @@ def write_stage(df: DataFrame, path: str) -> None:
 
 def read_stage(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether the path is a folder, in whatever file system it names."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p) and fs.getFileStatus(p).isDirectory())

@@ -2,7 +2,8 @@
 into the shared checkpoint folder and returns the sink table.
 
 Append-mode windows are emitted once the watermark (max event time minus
-the delay) reaches the window end; the oracle SQL keeps the same windows.
+the delay) reaches the window end; the windows still open at the end of the
+input are flushed as a batch, so the results hold every window.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kinelab import config as C
+from kinelab.operators import opsmetrics
 from kinelab.plans import catalog as cat
 from kinelab.session import scratch_path
 from kinelab.sources import tables as tb
@@ -28,15 +30,24 @@ def q_st1_window_mean(spark, d):
     root = scratch_path(spark, "st1")
     s = tb.sensor_from_events(_events_stream(spark, d))
     jobs.run_available(jobs.window_means(s, cat.DAY, DELAY), f"{root}/out", f"{root}/ck")
-    return cat._windows_out(spark.read.parquet(f"{root}/out"))
+    rest = jobs.open_rows(tb.sensor_events(spark, d), cat.DAY, DELAY_S)
+    jobs.window_means(rest, cat.DAY, DELAY).write.mode("append").parquet(f"{root}/out_flush")
+    return cat._windows_out(spark.read.parquet(f"{root}/out").unionByName(spark.read.parquet(f"{root}/out_flush")))
+
+
+def q_st1_folder_table(spark, d):
+    """ST1 over the usual layout: a table folder of several part files."""
+    root = scratch_path(spark, "st1-table")
+    tb.table(spark, d, "events").repartition(5).write.parquet(f"{root}/events.parquet")
+    return q_st1_window_mean(spark, root)
 
 
 def q_st2_stream_asof(spark, d):
     root = scratch_path(spark, "st2")
     s = tb.sensor_from_events(_events_stream(spark, d))
-    windows = jobs.window_means(s, cat.DAY, DELAY)
-    jobs.run_foreach(windows, jobs.asof_labeller(tb.readings_events(spark, d), f"{root}/out"),
-                     f"{root}/ck")
+    label = jobs.asof_labeller(tb.readings_events(spark, d), f"{root}/out")
+    jobs.run_foreach(jobs.window_means(s, cat.DAY, DELAY), label, f"{root}/ck")
+    label(jobs.window_means(jobs.open_rows(tb.sensor_events(spark, d), cat.DAY, DELAY_S), cat.DAY, DELAY), "flush")
     return cat._asof_out(spark.read.parquet(f"{root}/out").drop("batch_id"))
 
 
@@ -53,16 +64,26 @@ def q_st4_stream_drift(spark, d):
 def q_st5_stream_pred_counts(spark, d):
     root = scratch_path(spark, "st5")
     log = tb.scored_from_events(_events_stream(spark, d))
-    jobs.run_foreach(jobs.prediction_counter(log), jobs.overwrite_writer(f"{root}/out"),
+    jobs.run_foreach(jobs.prediction_counter(log), jobs.version_writer(f"{root}/out"),
                      f"{root}/ck", mode="complete")
-    return spark.read.parquet(f"{root}/out")
+    return jobs.newest_version(spark, f"{root}/out")
+
+
+def q_st5_stream_latency_histogram(spark, d):
+    """The cumulative latency buckets, kept up to date by a stream."""
+    root = scratch_path(spark, "st5h")
+    log = tb.scored_from_events(_events_stream(spark, d))
+    jobs.run_foreach(opsmetrics.latency_histogram(log), jobs.version_writer(f"{root}/out"),
+                     f"{root}/ck", mode="complete")
+    return jobs.newest_version(spark, f"{root}/out")
 
 
 def q_st6_stream_error_rate(spark, d):
     root = scratch_path(spark, "st6")
     http = tb.http_from_events(_events_stream(spark, d))
     jobs.run_available(jobs.error_windows(http, cat.HOUR, DELAY), f"{root}/out", f"{root}/ck")
-    out = spark.read.parquet(f"{root}/out")
+    rest = jobs.open_rows(tb.http_log(spark, d), cat.HOUR, DELAY_S)
+    out = spark.read.parquet(f"{root}/out").unionByName(jobs.error_windows(rest, cat.HOUR, DELAY))
     return out.select("job", "instance", "window_start_s", "errors", cat.r6("rate").alias("rate"))
 
 
@@ -79,36 +100,41 @@ def q_st3_stream_scoring(spark, d):
     return spark.read.parquet(f"{root}/out")
 
 
-def _closed(end_us: str) -> str:
-    return (f"{end_us} <= (SELECT floor(max(epoch_us(ts)) / 1000) * 1000 FROM events)"
-            f" - {DELAY_S * 1_000_000}")
-
-
-SQL_ST1 = f"""SELECT pid, window_start_s, round(x, 6) AS x, round(y, 6) AS y, round(z, 6) AS z
-FROM ({cat.WIN_A}) WHERE {_closed(f"(window_start_s + {cat.DAY}) * 1000000")}"""
-
-SQL_ST2 = f"""WITH w AS (SELECT * FROM ({cat.WIN_A}) WHERE {_closed(f"(window_start_s + {cat.DAY}) * 1000000")}),
-r AS ({cat.READ_A})
-SELECT w.pid, w.window_start_s, round(w.x, 6) AS x, round(w.y, 6) AS y, round(w.z, 6) AS z,
-  round(r.TAC_Reading, 6) AS TAC_Reading
-FROM w ASOF LEFT JOIN r ON w.pid = r.pid AND w.window_start_s >= r.rts"""
+def q_st3_stream_equals_batch(spark, d):
+    """The streamed predictions against those of the batch: one per request, none different."""
+    from kinelab.operators import features, model
+    from kinelab.plans.ml_catalog import SMALL, _gappy_requests, fitted_model
+    from kinelab.sources.telemetry import parse_requests
+    root = scratch_path(spark, "st3b")
+    _gappy_requests(spark, d).write.mode("overwrite").text(f"{root}/requests")
+    forest = fitted_model(spark, d, **SMALL)
+    jobs.run_available(jobs.scoring(spark.readStream.text(f"{root}/requests"), forest), f"{root}/out", f"{root}/ck")
+    batch = model.predict(forest, features.scoring_features(parse_requests(spark.read.text(f"{root}/requests"))), keep=["time"])
+    count = lambda df: df.groupBy("time", "prediction").agg(F.count(F.lit(1)).alias("n"))
+    a, b = count(spark.read.parquet(f"{root}/out")), count(batch).withColumnRenamed("n", "m")
+    return (a.join(b, ["time", "prediction"], "full_outer")
+            .agg(F.sum("n").alias("rows"), F.count_if(~F.col("n").eqNullSafe(F.col("m"))).alias("mismatches")))
 
-SQL_ST6 = f"""SELECT job, instance, window_start_s, errors, round(rate, 6) AS rate FROM ({cat.RATES})
-WHERE rate > 0 AND {_closed(f"(window_start_s + {cat.HOUR}) * 1000000")}"""
 
 STREAM_QUERIES = {
     "st1_stream_window_mean": q_st1_window_mean,
+    "st1_folder_table": q_st1_folder_table,
     "st2_stream_asof": q_st2_stream_asof,
     "st3_stream_scoring": q_st3_stream_scoring,
+    "st3_stream_equals_batch": q_st3_stream_equals_batch,
     "st4_stream_drift": q_st4_stream_drift,
     "st5_stream_pred_counts": q_st5_stream_pred_counts,
+    "st5_stream_latency_histogram": q_st5_stream_latency_histogram,
     "st6_stream_error_rate": q_st6_stream_error_rate,
 }
 
 STREAM_SQL = {
-    "st1_stream_window_mean": SQL_ST1,
-    "st2_stream_asof": SQL_ST2,
+    "st1_stream_window_mean": cat.SQL_WINDOWS.format(w=cat.WIN_A),
+    "st1_folder_table": cat.SQL_WINDOWS.format(w=cat.WIN_A),
+    "st2_stream_asof": cat._asof_sql(cat.WIN_A, cat.READ_A),
+    "st3_stream_equals_batch": "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS mismatches FROM events",
     "st4_stream_drift": cat.SQL_PSI,
     "st5_stream_pred_counts": cat.SQL_A9,
-    "st6_stream_error_rate": SQL_ST6,
+    "st5_stream_latency_histogram": cat.SQL_A10,
+    "st6_stream_error_rate": cat.SQL_A12,
 }

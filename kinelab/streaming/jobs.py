@@ -7,6 +7,7 @@ batch replaces its own output instead of duplicating it (exactly-once).
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,26 +19,59 @@ from kinelab.functions import bool_text, nan_to_null
 from kinelab.operators import drift
 from kinelab.operators.asof import asof_join
 from kinelab.operators.features import scoring_features
+from kinelab.operators.model import fill_missing
+from kinelab.sources.parquet_io import is_folder
 from kinelab.sources.telemetry import parse_requests
 
+log = logging.getLogger(__name__)
+
 
 def table_stream(spark: SparkSession, folder: str, name: str,
                  max_files: int | None = None) -> DataFrame:
-    """Stream the parquet file(s) ``name`` of ``folder`` (schema from the table)."""
-    schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    """Stream the table ``name`` of ``folder``: a folder of part files, or one file (schema from the table)."""
+    path = f"{folder}/{name}.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(folder)
+    if is_folder(spark, path):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
 
 
 def run_available(df: DataFrame, path: str, checkpoint: str, mode: str = "append",
-                  fmt: str = "parquet") -> None:
-    """Process everything available now, then stop (tests, batch-style runs)."""
+                  fmt: str = "parquet") -> int:
+    """Process everything available now, then stop; returns the rows dropped as too late."""
     q: StreamingQuery = (df.writeStream.format(fmt).outputMode(mode)
                          .option("path", path).option("checkpointLocation", checkpoint)
                          .trigger(availableNow=True).start())
     q.awaitTermination()
+    dropped = late_rows(q)
+    if dropped:
+        log.warning("%d rows came after their window was closed (watermark)", dropped)
+    return dropped
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the query's stateful operators dropped behind the watermark."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+
+def open_from(samples: DataFrame, size_s: int, delay_s: int, event_time: str = "ts") -> int | None:
+    """Start of the first window (epoch seconds) that a drained stream has not emitted.
+
+    Append mode emits a window once the watermark (largest event time less the
+    delay) reaches its end. At the end of the input the rest is flushed as a
+    batch: the same aggregate over the rows from this time on, whose windows
+    are exactly the open ones. None for an empty input.
+    """
+    last = samples.agg(F.max(F.unix_millis(event_time))).first()[0]
+    return None if last is None else int((last - 1000 * delay_s) // (1000 * size_s) * size_s)
+
+
+def open_rows(samples: DataFrame, size_s: int, delay_s: int, event_time: str = "ts") -> DataFrame:
+    """The rows of the windows that a drained stream has not emitted."""
+    start = open_from(samples, size_s, delay_s, event_time)
+    return samples.where(F.col(event_time) >= F.timestamp_seconds(F.lit(start or 0)))
 
 
 def run_foreach(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
@@ -58,10 +92,15 @@ def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
 
 
 # ------------------------------------------------------------------- ST1
-def window_means(samples: DataFrame, size_s: int = C.WINDOW_SECONDS, delay: str = "0 seconds",
+def window_means(samples: DataFrame, size_s: int, delay: str,
                  event_time: str = "ts", key: str = C.KEY,
                  value_cols: Sequence[str] = ("x", "y", "z")) -> DataFrame:
-    """ST1: tumbling-window means per key, emitted once the watermark passes the window."""
+    """ST1: tumbling-window means per key, emitted once the watermark passes the window.
+
+    ``delay`` is how late a row may come; a later one is dropped and counted
+    (``late_rows``). On a static frame the watermark does nothing, which is
+    how the end-of-input flush uses it.
+    """
     # No filter before the aggregate: Catalyst pushes filters below the
     # watermark, which would then follow only the surviving rows' event time.
     # NULL keys are dropped from the finished windows instead.
@@ -90,12 +129,12 @@ def asof_labeller(readings: DataFrame, path: str, tiebreak: str | None = "tiebre
      .select(F.col("_k").alias(C.KEY), F.col("_rt").alias(C.READING_TIME), F.col(f"_r.{C.READING}"))
      .write.mode("overwrite").parquet(prepared))
     table = spark.read.parquet(prepared)
-    stats = reading_stats(table, C.KEY, C.READING_TIME)
+    stats = reading_stats(table, C.KEY, C.READING_TIME, [C.READING])
     plan = choose_plan(table, C.KEY, C.READING_TIME, stats=stats)
     if plan == "bucketed":
         bucket_s = bucket_s or auto_bucket(stats)
 
-    def label(batch: DataFrame, batch_id: int) -> None:
+    def label(batch: DataFrame, batch_id: int | str) -> None:
         out = asof_join(batch, table, C.KEY, C.WINDOW_START, C.READING_TIME, [C.READING],
                         tiebreak=None, plan=plan, bucket_s=bucket_s, stats=stats)
         out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
@@ -105,7 +144,7 @@ def asof_labeller(readings: DataFrame, path: str, tiebreak: str | None = "tiebre
 # ------------------------------------------------------------------- ST3
 def scoring(requests: DataFrame, model, keep: Sequence[str] = ("time",)) -> DataFrame:
     """ST3: JSON request lines -> features -> model prediction (a stateless stream)."""
-    feats = scoring_features(parse_requests(requests))
+    feats = fill_missing(scoring_features(parse_requests(requests)))
     return model.transform(feats).select(*keep, F.col("prediction").cast("int").alias("prediction"))
 
 
@@ -121,18 +160,22 @@ def drift_monitor(train_counts: DataFrame, log_path: str, psi_path: str,
     its own state folder, so a replayed batch reads the same previous state.
     """
     latest_path = latest_path or f"{psi_path}_latest"
+    # The reference counts (targets x categories) are computed once, not per trigger.
+    train_counts.write.mode("overwrite").parquet(f"{psi_path}_reference")
+    counts = train_counts.sparkSession.read.schema(train_counts.schema).parquet(f"{psi_path}_reference")
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
-        cand = batch
+        log_part = f"{log_path}/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(log_part)
+        cand = spark.read.schema(batch.schema).parquet(log_part)  # the batch is evaluated once
         prev = _previous_state(spark, latest_path, batch_id)
         if prev is not None:
-            cand = prev.unionByName(batch)
+            cand = prev.unionByName(cand)
         top = drift.latest_n(cand, n, require_full=False)
         top.write.mode("overwrite").parquet(f"{latest_path}/b={batch_id}")
         latest = drift.latest_n(spark.read.parquet(f"{latest_path}/b={batch_id}"), n)
-        (drift.psi(train_counts, latest).withColumn("batch_id", F.lit(batch_id))
+        (drift.psi(counts, latest).withColumn("batch_id", F.lit(batch_id))
          .write.mode("overwrite").parquet(f"{psi_path}/b={batch_id}"))
     return step
 
@@ -163,15 +206,25 @@ def prediction_counter(scored: DataFrame, pred: str = C.LABEL) -> DataFrame:
     return scored.groupBy(bool_text(pred).alias("pred")).agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def overwrite_writer(path: str) -> Callable[[DataFrame, int], None]:
-    """Complete-mode sink: each batch replaces the table."""
+def version_writer(path: str) -> Callable[[DataFrame, int], None]:
+    """Complete-mode sink: each batch writes the whole table as its own version."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
     return write
 
 
+def newest_version(spark: SparkSession, path: str) -> DataFrame:
+    """The table of the newest version whose write has ended; a version being written is not seen."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done = [int(st.getPath().getName()[8:]) for st in fs.listStatus(p)
+            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))]
+    return spark.read.parquet(f"{path}/version={max(done)}")
+
+
 # ------------------------------------------------------------------- ST6
-def error_windows(http: DataFrame, window_s: int = 60, delay: str = "0 seconds",
+def error_windows(http: DataFrame, window_s: int, delay: str,
                   ok_pattern: str = "200") -> DataFrame:
     """ST6: non-OK responses per (window, job, instance) with a watermark."""
     from kinelab.functions import not_matching
