@@ -15,8 +15,10 @@ Steps, none of which lists all pairs of a group:
    one is confirmed exactly: this alone joins a group of copies into (nearly)
    one component;
 3. in buckets that still hold several components, pairs of different components
-   whose sketches allow the threshold are confirmed exactly. A large bucket is
-   cut into a triangle of blocks.
+   whose sketches allow the threshold are confirmed exactly, inside the task
+   that holds the bucket: nearest sketches first, and no further pair of two
+   components once one has joined them. Only such links leave the task. A large
+   bucket is cut into a triangle of blocks.
 
 Links inside one component change nothing, so every link between proposed pairs
 takes effect. With ``BANDS`` bands of ``ROWS`` samples a pair at the threshold
@@ -48,8 +50,8 @@ from kinelab.llm.textbytes import NON_SPACE, buffers, mix, shingle_sets, slices,
 SAMPLES = 256
 BANDS, ROWS = 40, 6
 BITS = 1024
-#: Rows of a bucket compared in one cell, and members confirmed against one text in one task.
-BLOCK_ROWS, MEMBERS = 2_000, 400
+#: Rows and shingles of a bucket in one block, and members confirmed against one text in one task.
+BLOCK_ROWS, BLOCK_SHINGLES, MEMBERS = 1_000, 2_000_000, 400
 
 _rng = np.random.default_rng(20)
 _MUL = _rng.integers(0, 1 << 31, SAMPLES).astype(np.uint32) * np.uint32(2) + np.uint32(1)
@@ -142,15 +144,8 @@ def _confirm(k: int, num: int, den: int):
                     if kind[r] == 0:
                         hubs.append(mine)
                         continue
-                    for other in hubs:
-                        small, large = (mine, other) if len(mine) <= len(other) else (other, mine)
-                        if not len(small) or den * len(small) < num * len(large):
-                            continue
-                        pos = np.searchsorted(large, small)
-                        pos[pos == len(large)] = 0
-                        both = int((large[pos] == small).sum())
-                        if den * both >= num * (len(small) + len(large) - both):
-                            found.add((hub[r], ids[r]))
+                    if any(overlap(mine, other, num, den) for other in hubs):
+                        found.add((hub[r], ids[r]))
             a, b = zip(*found) if found else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(a, batch.schema.field("a").type), pa.array(b, batch.schema.field("a").type)], ["a", "b"])
     return run
@@ -167,30 +162,67 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int, n
     return staged(rows.mapInArrow(_confirm(k, num, den), f"a {id_type}, b {id_type}"), name)
 
 
-def _possible(limit: int):
-    """Pairs of different components in a bucket cell whose sketches allow the threshold."""
+def overlap(mine: np.ndarray, other: np.ndarray, num: int, den: int) -> bool:
+    """Whether two sorted sets reach num / den."""
+    small, large = (mine, other) if len(mine) <= len(other) else (other, mine)
+    if not len(small) or den * len(small) < num * len(large):
+        return False
+    pos = np.searchsorted(large, small)
+    pos[pos == len(large)] = 0
+    both = int((large[pos] == small).sum())
+    return den * both >= num * (len(small) + len(large) - both)
+
+
+def _matrix(t: pa.Table, name: str) -> np.ndarray:
+    return np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in t.column(name).chunks]).reshape(t.num_rows, -1)
+
+
+def _bridges(k: int, num: int, den: int, limit: int):
+    """Links between different components in a bucket cell, enough of them to join what belongs together."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_groups(batches, ["key", "bi", "bj"]):
-            t = t.combine_chunks()
             n = t.num_rows
-            starts = starts_of([t.column(c).to_numpy() for c in ("key", "bi", "bj")])
+            col = lambda c: t.column(c).combine_chunks().to_numpy(zero_copy_only=False)  # noqa: E731,B023
+            starts = starts_of([col(c) for c in ("key", "bi", "bj")])
             end = np.repeat(np.append(starts[1:], n), np.diff(np.append(starts, n)))
-            one = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in t.column("sketch").chunks]).reshape(n, -1).view(np.uint64)
-            comp = t.column("component").to_numpy()
-            within = t.column("bi").to_numpy() == t.column("bj").to_numpy()
-            side = t.column("side").to_numpy(zero_copy_only=False)
-            ids, i, d = t.column("id"), np.arange(n), 1
+            key, side, within, sketch, bands = col("key"), col("side"), col("bi") == col("bj"), _matrix(t, "sketch").view(np.uint64), _matrix(t, "bands")
+            comp = np.unique(col("component"), return_inverse=True)[1]
+            first, second, apart, i, d = [], [], [], np.arange(n), 1
             while True:
                 i = i[i + d < end[i]]
                 if not len(i):
                     break
-                j = i + d
-                c = (comp[i] != comp[j]) & (within[i] | (side[i] != side[j]))
-                a, b = i[c], j[c]
-                near = np.bitwise_count(one[a] ^ one[b]).sum(1) <= limit
-                if near.any():
-                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(a[near])).combine_chunks(), ids.take(pa.array(b[near])).combine_chunks()], ["a", "b"])
+                c = (comp[i] != comp[i + d]) & (within[i] | (side[i] != side[i + d]))
+                a = i[c]
+                dist = np.bitwise_count(sketch[a] ^ sketch[a + d]).sum(1)
+                a, dist = a[dist <= limit], dist[dist <= limit]
+                if len(a):  # a pair that meets in several buckets is confirmed in the first of them
+                    same = bands[a] == bands[a + d]
+                    mine = bands[a, same.argmax(1)] == key[a]
+                    a, dist = a[mine], dist[mine]
+                first.append(a)
+                second.append(a + d)
+                apart.append(dist)
                 d += 1
+            if not first or not sum(map(len, first)):
+                continue
+            order = np.argsort(np.concatenate(apart), kind="stable")
+            first, second = np.concatenate(first)[order], np.concatenate(second)[order]
+            sets: list[np.ndarray] = []
+            for x, y, off, h in _sets(t.column("text").combine_chunks(), k):
+                sets += [h[off[r]:off[r + 1]] for r in range(y - x)]
+            ids, found = t.column("id").combine_chunks(), []
+            while len(first):
+                for a, b in zip(first[:1024].tolist(), second[:1024].tolist()):
+                    if comp[a] != comp[b] and overlap(sets[a], sets[b], num, den):
+                        comp[comp == comp[b]] = comp[a]
+                        found.append((a, b))
+                first, second = first[1024:], second[1024:]
+                still = comp[first] != comp[second]
+                first, second = first[still], second[still]
+            if found:
+                a, b = (pa.array(x, pa.int64()) for x in zip(*found))
+                yield pa.RecordBatch.from_arrays([ids.take(a), ids.take(b)], ["a", "b"])
     return run
 
 
@@ -209,7 +241,7 @@ def near_duplicates(docs: DataFrame, k: int = 2, num: int = 80, den: int = 100)
     same = ["h1", "h2", "n_shingles"]
     classes = sig.where("n_shingles > 0").groupBy(*same).agg(F.min("doc_id").alias("rep"))
     reps = staged(sig.join(classes, same).where("doc_id = rep").dropDuplicates(["doc_id", *same])
-                  .select(F.col("doc_id").alias("id"), "bands", "sketch"), "near-classes")
+                  .select(F.col("doc_id").alias("id"), "n_shingles", "bands", "sketch"), "near-classes")
 
     keys = reps.select("id", F.explode("bands").alias("key"))
     buckets = keys.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("leader")).where("m > 1")
@@ -228,15 +260,14 @@ def near_duplicates(docs: DataFrame, k: int = 2, num: int = 80, den: int = 100)
     first = _confirmed(staged(nearest, "near-nearest"), texts, k, num, den, "near-first")
     joined = staged(connected_components(first), "near-joined")
 
-    placed = members.join(joined, "id", "left").select("key", "id", "m", F.coalesce("component", "id").alias("component"))
+    placed = members.join(joined, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     mixed = (placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key"))
-    open_rows = placed.join(mixed, "key").join(sketches, "id")
-    cells = (triangle(open_rows, F.col("m"), F.xxhash64("id"), BLOCK_ROWS)
+    open_rows = staged(placed.join(mixed, "key").join(reps, "id"), "near-open")
+    blocks = open_rows.groupBy("key").agg(F.greatest(F.count(F.lit(1)) / BLOCK_ROWS, F.sum("n_shingles") / BLOCK_SHINGLES).alias("blocks"))
+    cells = (triangle(open_rows.join(blocks, "key"), F.col("blocks"), F.xxhash64("id"), 1).join(texts, "id")
              .repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    possible = cells.mapInArrow(_possible(limit), f"a {id_type}, b {id_type}")
-    possible = staged(possible.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-possible")
-    second = _confirmed(possible, texts, k, num, den, "near-second")
+    second = staged(cells.mapInArrow(_bridges(k, num, den, limit), f"a {id_type}, b {id_type}"), "near-second")
 
     old = lambda side: joined.select(F.col("id").alias(side), F.col("component").alias(f"c{side}"))
     bridges = (second.join(old("a"), "a", "left").join(old("b"), "b", "left")
