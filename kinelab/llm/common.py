@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from kinelab.session import scratch_path
 
-#: Text records per Arrow batch; keeps a batch of very long texts small.
-ARROW_ROWS = 512
+#: Records and bytes per Arrow batch; keeps a batch of very long texts small.
+ARROW_ROWS, ARROW_BYTES = 512, 16 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +17,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def small_batches(spark: SparkSession) -> None:
     """Bound the Arrow batches of the session: texts can be long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -28,10 +28,3 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-
-
-def blocks_of(total: Column, per_block: int) -> Column:
-    """Number of blocks of about ``per_block`` rows, one at least."""
-    return F.greatest(F.lit(1), F.ceil(total / F.lit(per_block))).cast("int")
