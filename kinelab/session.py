@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from kinelab import config as C
+
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -18,7 +20,7 @@ DEFAULT_CONF = {
 }
 
 
-def get_session(master: str | None = None, app: str = "kinelab",
+def get_session(master: str | None = None, app: str = C.APP_NAME,
                 shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
