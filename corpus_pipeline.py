@@ -16,14 +16,13 @@ from kinelab.llm.common import documents, staged
 from kinelab.llm.mixing import mixed_documents
 from kinelab.llm.neardup import near_duplicates
 from kinelab.llm.packing import pack
-from kinelab.llm.quality import classify
+from kinelab.llm.quality import accepted
 from kinelab.llm.queries import vocabulary
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return classify(docs, labels, keep=tuple(docs.columns)).where("predicted = 1").select(*docs.columns)
+    return accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -42,7 +42,10 @@ MEMO = 400_000
 # A text whose white space is only single blanks and line feeds between other
 # characters splits at them into chunks that the tokenizer treats separately.
 _CHUNK = re.compile(r"\n| ?[^ \n]+")
-_ODD = re.compile(r"[^\S \n]|[ \n][ \n]|\A[ \n]|[ \n]\Z|[\x1c-\x1f\x85]|<\|")
+_ODD = re.compile(r"[^\S \n]|[ \n][ \n]| \Z|[\x1c-\x1f\x85]|<\|")
+# A blank between two letters always starts a new chunk: very long texts are cut there.
+_CUT = re.compile(r"(?<=[a-zA-Z]) (?=[a-zA-Z])")
+CUT_CHARS = 1 << 20
 
 
 def _byte_of_char() -> dict[str, int]:
@@ -74,6 +77,17 @@ class Encoder:
         self.memo: dict[str, bytes] = {}
 
     def __call__(self, text: str) -> bytes:
+        if len(text) <= 2 * CUT_CHARS:
+            return self._ids(text)
+        parts, at = [], 0
+        while at < len(text):
+            cut = _CUT.search(text, at + CUT_CHARS)
+            end = cut.start() if cut else len(text)
+            parts.append(self._ids(text[at:end]))
+            at = end
+        return b"".join(parts)
+
+    def _ids(self, text: str) -> bytes:
         if _ODD.search(text):
             return array.array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
         memo, chunks = self.memo, _CHUNK.findall(text)

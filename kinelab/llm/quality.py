@@ -185,17 +185,30 @@ def fit(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, most: int = FIT
     return Network(np.array([r["x"] for r in rows]), y)
 
 
-def classify(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` and held_out, score, predicted of every document."""
+SCORE = "_quality_score"
+
+
+def scored(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """The columns ``keep`` of every document, and its score."""
     vectors = word_vectors(docs)
     network = fit(docs, labels, vectors)
-    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(SCORE, T.DoubleType())])
     text = "_text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             s = network(pooled(batch.column(text), vectors)) if network else np.full(batch.num_rows, 0.5)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(s)], [*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(s)], [*keep, SCORE])
+
+    return docs.select(*keep, F.col("text").alias(text)).mapInArrow(run, schema)
+
+
+def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score, predicted of every document."""
+    return scored(docs, labels, ("doc_id",)).select(
+        "doc_id", held_out().alias("held_out"), F.col(SCORE).alias("score"), F.when(F.col(SCORE) >= ACCEPT, 1).otherwise(0).alias("predicted"))
+
 
-    scored = docs.select(*keep, F.col("text").alias(text)).mapInArrow(run, schema)
-    return scored.select(*keep, held_out().alias("held_out"), "score", F.when(F.col("score") >= ACCEPT, 1).otherwise(0).alias("predicted"))
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that are predicted to be good, with all their columns."""
+    return scored(docs, labels, tuple(docs.columns)).where(F.col(SCORE) >= ACCEPT).select(*docs.columns)

@@ -176,6 +176,13 @@ def test_ids_of_any_text(text):
     assert np.frombuffer(_ENCODER(text), "<u4").tolist() == _ENCODER.whole.encode(text, add_special_tokens=False).ids
 
 
+def test_ids_of_a_long_text_are_those_of_the_whole(monkeypatch):
+    import kinelab.llm.packing as m
+    monkeypatch.setattr(m, "CUT_CHARS", 50)
+    text = " ".join(TEXTS[1:]) * 3 + "x" * 500
+    assert np.frombuffer(Encoder(VOCABULARY)(text), "<u4").tolist() == reference_ids([text])[0]
+
+
 def plain_best_fit(lengths, capacity):
     room = []
     for n in sorted(lengths, reverse=True):
