@@ -40,10 +40,12 @@ from pyspark.sql import functions as F
 from kinelab.llm.common import small_batches, staged
 
 REVISIT_BYTES = 100
-#: Records are dealt to shards of about this many payload bytes.
-SHARD_BYTES = 32 << 20
+#: Records are dealt to shards of about this many payload bytes, larger ones where there would be more than MOST_SHARDS.
+SHARD_BYTES, MOST_SHARDS = 32 << 20, 100_000
 #: A file is closed once its compressed size reaches this.
 FILE_BYTES = 16 << 20
+#: Tasks that read archives at a time, at most.
+MOST_READERS = 20_000
 DATE = "2020-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
@@ -160,9 +162,10 @@ def write_archives(pages: DataFrame, path: str, shard_bytes: int = SHARD_BYTES,
     parts = (narrow.groupBy("part").agg(F.sum("n").alias("t"))
              .withColumn("before", F.sum("t").over(Window.orderBy("part")) - F.col("t")).drop("t"))
     run = F.sum("n").over(Window.partitionBy("part").orderBy("page_id", "digest").rowsBetween(Window.unboundedPreceding, 0))
-    shard = F.floor((F.col("before") + run - F.col("n")) / shard_bytes)
+    total = narrow.agg(F.sum("n")).first()[0] or 0
+    shard = F.floor((F.col("before") + run - F.col("n")) / max(shard_bytes, total / MOST_SHARDS))
     lows = (narrow.join(F.broadcast(parts), "part").withColumn("shard", shard)
-            .groupBy("shard").agg(F.min("page_id").alias("low")).orderBy("shard").collect())  # one row per shard_bytes of input
+            .groupBy("shard").agg(F.min("page_id").alias("low")).orderBy("shard").collect())  # MOST_SHARDS rows at most
     bounds = np.unique(np.array([r["low"] for r in lows if r["low"] is not None], np.int64))
 
     @F.pandas_udf("int")
@@ -176,7 +179,7 @@ def write_archives(pages: DataFrame, path: str, shard_bytes: int = SHARD_BYTES,
                  .withColumn("url", F.lit(None).cast("string")).withColumn("html", F.lit(None).cast("string")))
     rows = pages.select("page_id", digest.alias("digest"), F.lit(1).alias("kind"), F.lit(None).cast(narrow.schema["page_id"].dataType).alias("first"), "url", "html")
     dealt = (rows.unionByName(decisions).withColumn("shard", shard_of("page_id"))
-             .repartition(max(1, len(bounds)), "shard").sortWithinPartitions("shard", "page_id", "digest", "kind", "url"))
+             .repartitionByRange(max(1, len(bounds)), "shard").sortWithinPartitions("shard", "page_id", "digest", "kind", "url"))
     manifest = staged(dealt.mapInArrow(_write(path, file_bytes), _MANIFEST), "warc-manifest")
     committed = staged(manifest.mapInArrow(_commit(path), _MANIFEST).drop("temporary"), "warc-committed")
     fs, base = pafs.FileSystem.from_uri(path)
@@ -240,6 +243,8 @@ def _read(root: str, keep_payload: bool):
 
 def read_archives(spark: SparkSession, manifest: DataFrame, path: str, keep_payload: bool = True) -> DataFrame:
     """A row per page record of the manifest's files; digests are checked while reading."""
-    return (manifest.select("file").repartition("file")
+    files = manifest.select("file")
+    # a number, so that adaptive execution does not merge the tasks: names are small, files are not
+    return (files.repartition(min(max(1, files.count()), MOST_READERS), "file")
             .mapInArrow(_read(path, keep_payload), "page_id long, url string, payload_bytes long, payload_digest string, "
                                                    "record_type string, refers_to long, payload string"))
