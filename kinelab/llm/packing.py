@@ -42,7 +42,16 @@ MEMO = 400_000
 # A text whose white space is only single blanks and line feeds between other
 # characters splits at them into chunks that the tokenizer treats separately.
 _CHUNK = re.compile(r"\n| ?[^ \n]+")
-_ODD = re.compile(r"[^\S \n]|[ \n][ \n]| \Z|[\x1c-\x1f\x85]|<\|")
+_ODD = ("  ", " \n", "\n ", "\n\n", "<|", *"\t\r\x0b\x0c\x1c\x1d\x1e\x1f")
+_ODD_WIDE = tuple("\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+
+
+def _odd(text: str) -> bool:
+    """Whether a text holds other white space, white space in a row or at its end, or may hold a special token."""
+    return (text.endswith(" ") or any(x in text for x in _ODD)
+            or not text.isascii() and any(x in text for x in _ODD_WIDE))
+
+
 # A blank between two letters always starts a new chunk: very long texts are cut there.
 _CUT = re.compile(r"(?<=[a-zA-Z]) (?=[a-zA-Z])")
 CUT_CHARS = 1 << 20
@@ -55,6 +64,19 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+class Chunks(dict):
+    """Ids of the chunks met so far; a new one is encoded when it is looked up."""
+
+    def __init__(self, encoding):
+        self.encode = encoding.encode_ordinary
+
+    def __missing__(self, chunk: str) -> bytes:
+        if len(self) >= MEMO:
+            self.clear()
+        ids = self[chunk] = array.array("I", self.encode(chunk)).tobytes()
+        return ids
+
+
 class Encoder:
     """Little-endian uint32 token ids of texts, equal to those of ``tokenizers``.
 
@@ -73,8 +95,7 @@ class Encoder:
         special = {t["content"] for t in spec.get("added_tokens", [])}
         byte = _byte_of_char()
         ranks = {bytes(byte[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
-        self.chunk = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.memo: dict[str, bytes] = {}
+        self.memo = Chunks(tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}))
 
     def __call__(self, text: str) -> bytes:
         if len(text) <= 2 * CUT_CHARS:
@@ -88,18 +109,9 @@ class Encoder:
         return b"".join(parts)
 
     def _ids(self, text: str) -> bytes:
-        if _ODD.search(text):
+        if _odd(text):
             return array.array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
-        memo, chunks = self.memo, _CHUNK.findall(text)
-        try:
-            return b"".join([memo[c] for c in chunks])
-        except KeyError:
-            if len(memo) > MEMO:
-                memo.clear()
-            for c in chunks:
-                if c not in memo:
-                    memo[c] = array.array("I", self.chunk.encode_ordinary(c)).tobytes()
-            return b"".join([memo[c] for c in chunks])
+        return b"".join(map(self.memo.__getitem__, _CHUNK.findall(text)))
 
 
 _ENCODERS: dict[str, Encoder] = {}
