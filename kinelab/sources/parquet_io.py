@@ -19,9 +19,11 @@ def write_partitioned(df: DataFrame, path: str, key: str = C.KEY, order: str | N
     samples its input once, so pass a written (or cheap) input.
     """
     cols = [key] + ([order] if order and order in df.columns else [])
-    # Without a count, adaptive execution sizes the partitions from the data.
-    args = ([num_partitions] if num_partitions else []) + [F.col(c) for c in cols]
-    (df.repartitionByRange(*args)
+    # The session's shuffle partitions, which the deployment sizes for its data:
+    # without a count, adaptive execution merges partitions by bytes, and one
+    # task then writes thousands of small key folders one after another.
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartitionByRange(n, *[F.col(c) for c in cols])
      .write.mode("overwrite").partitionBy(key).parquet(path))
 
 
