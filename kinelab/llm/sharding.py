@@ -5,23 +5,27 @@ partial partition (its bytes in one of the bins, the rest empty); the two
 partial partitions with the largest spread are combined again and again,
 the fullest bin of one with the emptiest of the other, until one is left.
 
-At scale the differencing runs as a tree. Blocks of about ``GROUPS_PER_TASK``
-groups are differenced in parallel; each leaves one partial partition of
-``n_shards`` sums, and those are differenced ``FAN_IN`` at a time, level by
-level. A task holds that many groups or sums and nothing else.
+At scale the differencing runs in steps that know of the large groups. Groups
+above 1 / ``GROUPS_PER_TASK`` of all bytes, of which there are fewer than that,
+are differenced first, all in one task; they leave the shards at different
+levels. The others are dealt to nodes of about ``GROUPS_PER_TASK`` groups. A
+node starts from its part of those levels, as one more partial partition, so its
+groups fill what the large ones leave open. Nodes run in parallel, and every
+``FAN_IN``-th only after those between it and the next, whose sums it starts
+from: it levels what they left uneven, and node 0 does so for all. A task holds
+the groups of a node and ``n_shards`` sums.
 
 Defined cases: null text counts as empty (size 8 with the fixed 8 bytes per
 row); repeated rows belong to one group; null ids are ordinary rows; an empty
 table gives an empty result; columns other than doc_id and text are ignored.
 A group larger than a fair share (all bytes / n_shards) cannot sit in one of
-near-equal shards, so only such a group is cut, by a hash of doc_id, into the
+near-equal shards, so only such a group is cut, by the rank of its rows, into the
 fewest pieces that fit a share.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -34,6 +38,10 @@ GROUPS_PER_TASK = 20_000
 FAN_IN = 512
 ROW_BYTES = 8
 SLOT_ROWS = 50_000
+#: Rows of a group to be cut that are ranked together.
+RANK_ROWS = 1_000
+#: The piece number of a row that holds a sum which a node starts from; h1 is its shard.
+START = -1
 
 
 def difference(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -73,33 +81,35 @@ def difference(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _difference_groups(n_shards: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        frames = [b for b in batches if len(b)]
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True)
-        pdf = pdf.sort_values(["bytes", "h1", "h2", "piece"], ascending=[False, True, True, True], kind="stable")
-        sums = np.zeros((len(pdf), n_shards), np.int64)
-        sums[:, 0] = pdf["bytes"].to_numpy()
+    """Shards of a node's groups, counted from the sums that it starts from."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        begun = pdf["piece"] == START
+        start = np.zeros(n_shards, np.int64)
+        np.add.at(start, pdf.loc[begun, "h1"].to_numpy(), pdf.loc[begun, "bytes"].to_numpy())
+        pdf = pdf[~begun].sort_values(["bytes", "h1", "h2", "piece"], ascending=[False, True, True, True], kind="stable")
+        sums = np.zeros((len(pdf) + 1, n_shards), np.int64)
+        sums[0] = start
+        sums[1:, 0] = pdf["bytes"].to_numpy()
         place, _ = difference(sums)
-        pdf["bin"] = place[:, 0].astype(np.int32)
-        yield pdf[["h1", "h2", "piece", "node", "bytes", "bin"]]
+        shard_of = np.argsort(place[0])                       # bin of the result -> shard of the start
+        return pdf.assign(bin=shard_of[place[1:, 0]].astype(np.int32))[["h1", "h2", "piece", "node", "bytes", "bin"]]
     return run
 
 
-def _difference_nodes(n_shards: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        wide = pdf.pivot_table(index="node", columns="bin", values="bytes", aggfunc="sum", fill_value=0)
-        wide = wide.reindex(columns=range(n_shards), fill_value=0).sort_index()
-        place, _ = difference(wide.to_numpy(np.int64))
-        return pd.DataFrame({
-            "node": np.repeat(wide.index.to_numpy(), n_shards),
-            "parent": pdf["parent"].iloc[0],
-            "bin": np.tile(np.arange(n_shards, dtype=np.int32), len(wide)),
-            "bytes": wide.to_numpy(np.int64).ravel(),
-            "up": place.astype(np.int32).ravel(),
-        })
-    return run
+def _cut(rows: DataFrame, large: DataFrame) -> DataFrame:
+    """``piece`` of every row: groups of ``large`` in pieces of equally many rows, the others in one.
+
+    Rows are ranked inside hashed sub-blocks of a group and shifted by the sizes
+    of the sub-blocks before, so no task sorts a whole group.
+    """
+    group = ["h1", "h2"]
+    here = rows.join(large, group).withColumn("_sub", F.pmod(F.xxhash64("at"), F.ceil(F.col("rows") / RANK_ROWS)))
+    before = (here.groupBy(*group, "_sub").agg(F.count(F.lit(1)).alias("_n"))
+              .withColumn("_before", F.sum("_n").over(Window.partitionBy(*group).orderBy("_sub")) - F.col("_n")).drop("_n"))
+    rank = F.col("_before") + F.row_number().over(Window.partitionBy(*group, "_sub").orderBy("at")) - 1
+    pieces = (here.join(F.broadcast(before), [*group, "_sub"])
+              .withColumn("piece", F.floor(rank * F.col("pieces") / F.col("rows")).cast("int")).select(*rows.columns, "piece"))
+    return rows.join(large, group, "left_anti").withColumn("piece", F.lit(0)).unionByName(pieces)
 
 
 def balanced_shards(docs: DataFrame, n_shards: int = 24) -> DataFrame:
@@ -109,54 +119,64 @@ def balanced_shards(docs: DataFrame, n_shards: int = 24) -> DataFrame:
         (F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_BYTES).cast("long").alias("size"),
         F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32"),
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("h1"),
-    ).withColumn("h2", F.xxhash64("text_crc32", "size")), "shard-rows")
+    ).withColumn("h2", F.xxhash64("text_crc32", "size")).withColumn("at", F.monotonically_increasing_id()), "shard-rows")
 
-    by_text = rows.groupBy("h1", "h2").agg(F.sum("size").alias("bytes"), F.max("size").alias("each"))
+    by_text = rows.groupBy("h1", "h2").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
     total, n_rows = rows.agg(F.sum("size"), F.count(F.lit(1))).first()
     if not n_rows:
         return rows.select("doc_id", "size", "text_crc32", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
     share = total / n_shards
     # fewer than n_shards groups can be larger than a share each
-    large = F.broadcast(by_text.where(F.col("bytes") > share).select(
-        "h1", "h2", F.ceil(F.col("bytes") / share).cast("int").alias("pieces")))
-    rows = (rows.join(large, ["h1", "h2"], "left")
-            .withColumn("piece", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("pieces")), F.lit(0)).cast("int"))
-            .drop("pieces"))
+    large = staged(by_text.where(F.col("bytes") > share).select(
+        "h1", "h2", "rows", F.ceil(F.col("bytes") / share).cast("int").alias("pieces")), "shard-large")
+    if not large.isEmpty():
+        rows = staged(_cut(rows, F.broadcast(large)), "shard-pieces")
+    else:
+        rows = rows.withColumn("piece", F.lit(0))
 
-    groups = rows.groupBy("h1", "h2", "piece").agg(F.sum("size").alias("bytes"))
     n_nodes = max(1, -(-n_rows // GROUPS_PER_TASK))
-    placed = staged(groups.withColumn("node", F.pmod(F.xxhash64("h1", "h2", "piece"), F.lit(n_nodes)))
-                    .repartition(n_nodes, "node")
-                    .transform(_per_node(n_shards)), "shard-groups")
-
-    level = placed.groupBy("node", "bin").agg(F.sum("bytes").alias("bytes"))
-    while n_nodes > 1:
-        up = staged(level.withColumn("parent", F.floor(F.col("node") / FAN_IN)).groupBy("parent")
-                    .applyInPandas(_difference_nodes(n_shards), "node long, parent long, bin int, bytes long, up int"),
-                    "shard-level")
-        placed = (placed.join(F.broadcast(up.select("node", "bin", "parent", "up")), ["node", "bin"])
-                  if n_nodes * n_shards <= 100_000 else
-                  placed.join(up.select("node", "bin", "parent", "up"), ["node", "bin"]))
-        placed = placed.select("h1", "h2", "piece", "bytes", F.col("parent").alias("node"), F.col("up").alias("bin"))
-        level = up.groupBy(F.col("parent").alias("node"), F.col("up").alias("bin")).agg(F.sum("bytes").alias("bytes"))
-        n_nodes = -(-n_nodes // FAN_IN)
+    above = F.lit(n_nodes > 1) & (F.col("bytes") * GROUPS_PER_TASK > total)
+    groups = staged(rows.groupBy("h1", "h2", "piece").agg(F.sum("size").alias("bytes"))
+                    .withColumn("node", F.when(above, -1).otherwise(F.pmod(F.xxhash64("h1", "h2", "piece"), F.lit(n_nodes)))), "shard-groups")
+    placed = _placed(groups, n_nodes, n_shards)
 
     shard_of = placed.select("h1", "h2", "piece", F.col("bin").alias("shard"))
     out = rows.join(shard_of, ["h1", "h2", "piece"]).select("doc_id", "size", "text_crc32", "shard")
     return with_slots(staged(out, "shard-placed"), n_rows, n_shards)
 
 
-def _per_node(n_shards: int):
-    """One differencing per node; a task that got several nodes handles each by itself."""
-    one = _difference_groups(n_shards)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        frames = [b for b in batches if len(b)]
-        if frames:
-            for _, pdf in pd.concat(frames, ignore_index=True).groupby("node"):
-                yield from one(iter([pdf]))
-
-    return lambda df: df.mapInPandas(run, "h1 long, h2 long, piece int, node long, bytes long, bin int")
+def _placed(groups: DataFrame, n_nodes: int, n_shards: int) -> DataFrame:
+    """h1, h2, piece, node, bytes, bin of every group: large ones (node -1), then the nodes, node 0 last."""
+    def run(part: DataFrame, n: int) -> DataFrame:
+        return staged(part.repartition(n, "node").groupBy("node").applyInPandas(
+            _difference_groups(n_shards), "h1 long, h2 long, piece int, node long, bytes long, bin int"), "shard-nodes")
+
+    levels = [0] * n_shards
+    done = run(groups.where("node < 0"), 1) if n_nodes > 1 else None
+    if done is not None:
+        for r in done.groupBy("bin").agg(F.sum("bytes").alias("bytes")).collect():  # n_shards rows
+            levels[r["bin"]] = r["bytes"]
+    small = groups.where("node >= 0")
+    sizes = staged(small.groupBy("node").agg(F.sum("bytes").alias("bytes")), "shard-node-sizes")
+    everything = sizes.agg(F.sum("bytes")).first()[0] or 1
+
+    step = 1
+    while True:
+        # a node speaks for itself and the step - 1 nodes after it, which are placed
+        last = step >= n_nodes
+        here = F.col("node") == 0 if last else (F.col("node") % step == 0) & (F.col("node") % (step * FAN_IN) != 0)
+        block = (F.floor(F.col("node") / step) * step).alias("node")
+        level = F.posexplode(F.array(*[F.lit(x).cast("long") for x in levels]))
+        start = (sizes.groupBy(block).agg((F.sum("bytes") / everything).alias("part")).select("node", "part", level.alias("h1", "level"))
+                 .select("node", F.col("h1").cast("long"), F.floor(F.col("level") * F.col("part")).alias("bytes")))
+        if done is not None:
+            start = start.unionByName(done.where("node >= 0").groupBy(block, F.col("bin").cast("long").alias("h1")).agg(F.sum("bytes").alias("bytes")))
+        start = start.where(here).select("h1", F.lit(0).cast("long").alias("h2"), F.lit(START).alias("piece"), "bytes", "node")
+        found = run(small.where(here).unionByName(start), 1 if last else -(-n_nodes // step))
+        done = found if done is None else done.unionByName(found)
+        if last:
+            return done
+        step *= FAN_IN
 
 
 def with_slots(rows: DataFrame, n_rows: int, n_shards: int) -> DataFrame:

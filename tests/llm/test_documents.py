@@ -81,6 +81,24 @@ def test_shards_split_only_a_group_beyond_a_fair_share(spark):
     assert balanced_shards(frame(spark, rows).limit(0), 6).count() == 0
 
 
+@pytest.mark.parametrize("ids", ["own", "none"])
+def test_shards_of_several_nodes_level_a_hot_group(spark, monkeypatch, ids):
+    import kinelab.llm.sharding as m
+    monkeypatch.setattr(m, "GROUPS_PER_TASK", 200)
+    monkeypatch.setattr(m, "FAN_IN", 4)
+    monkeypatch.setattr(m, "RANK_ROWS", 50)
+    rng = random.Random(3)
+    rows = [(10_000 + i, f"t{i} " + "x" * rng.randrange(150), "s") for i in range(2400)]
+    rows += [(i if ids == "own" else None, "hot " * 30, "s") for i in range(sum(len(t) + 8 for _, t, _ in rows) // 2 // 128)]
+    rows += [(20_000 + i, f"b{i}" * 2000, "s") for i in range(3)]
+    out = balanced_shards(frame(spark, rows), 24).collect()
+    load = Counter()
+    for r in out:
+        load[r["shard"]] += r["size"]
+    assert Counter(r["doc_id"] for r in out) == Counter(i for i, *_ in rows)
+    assert len(load) == 24 and max(load.values()) - min(load.values()) <= 0.03 * sum(load.values()) / 24
+
+
 # --- 7 -------------------------------------------------------------------------
 
 def water_fill(sizes):
