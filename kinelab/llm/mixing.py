@@ -9,6 +9,12 @@ integer quotas. The a-th award of a source takes the block at place
 size repeats whole rounds of its blocks. A document takes what its stretch of
 the line overlaps.
 
+Blocks grow with the corpus, so a source of fewer than ``LEAST_BLOCKS`` of them
+could miss its target widely, or get no block at all. Such a source is settled
+outside the awards, to the word: whole rounds, then its blocks in the order of
+the permutation, the last of them in part. Its words are dealt evenly to the
+shards, and the awards share out what is left.
+
 Everything but the document rows is small by construction: ``BLOCKS`` bounds
 the blocks of the corpus, whatever its size, and the source table has a row
 per source. The rest is joins and windows over bounded stretches.
@@ -24,7 +30,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinelab.llm.common import small_batches, staged
@@ -35,6 +41,8 @@ SHARE = (3, 2)
 MOST = 2
 #: The corpus is cut into about this many blocks.
 BLOCKS = 65_536
+#: Sources of fewer blocks are settled to the word; an award misses by a few blocks at most.
+LEAST_BLOCKS = 512
 SEED = "mix-1"
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -64,40 +72,62 @@ def source_targets(sizes: DataFrame) -> DataFrame:
                         F.when(F.col("source_size") == 0, F.lit(0.0)).otherwise(target).alias("target"))
 
 
+def _settled(block: int) -> Column:
+    """Whether a source takes no part in the awards. Blocks of one word are exact as they are."""
+    return F.lit(block > 1) & (F.ceil(F.col("source_size") / F.lit(block)) < LEAST_BLOCKS)
+
+
+def _need() -> Column:
+    return F.round("target").cast("long")
+
+
 def awards(targets: DataFrame, block: int) -> DataFrame:
     """rank, k, award: the k-th block of a source is the award-th of the corpus."""
     blocks = F.ceil(F.col("source_size") / F.lit(block))
-    words = F.sum("source_size").over(Window.partitionBy(F.lit(1)))
-    seats = F.floor((words * SHARE[0] + F.lit(block * SHARE[1] // 2)) / F.lit(block * SHARE[1])).cast("long")
-    per_source = (targets.withColumn("seats", seats).where("target > 0")
+    everything = Window.partitionBy(F.lit(1))
+    words = F.sum("source_size").over(everything) * SHARE[0] - F.sum(F.when(_settled(block), _need()).otherwise(0)).over(everything) * SHARE[1]
+    seats = F.floor((words + F.lit(block * SHARE[1] // 2)) / F.lit(block * SHARE[1])).cast("long")
+    per_source = (targets.withColumn("seats", seats).where("target > 0").where(~_settled(block))
                   .select("rank", "target", "seats", F.explode(F.sequence(F.lit(0).cast("long"), (blocks * MOST - 1).cast("long"))).alias("k")))
     by_quotient = Window.orderBy((F.col("target") / (F.col("k") * 2 + 1)).desc(), "rank")
     return (per_source.withColumn("award", F.row_number().over(by_quotient) - 1)
             .where(F.col("award") < F.col("seats")).select("rank", "k", "award", "seats"))
 
 
-def quotas(awarded: DataFrame, shards: int) -> DataFrame:
-    """rank, shard, blocks: how many blocks each shard takes from each source."""
+def quotas(targets: DataFrame, awarded: DataFrame, block: int, shards: int) -> DataFrame:
+    """rank, shard, blocks, words: how many blocks each shard takes from each source, or words of a settled one."""
     shard = F.floor(F.col("award") * F.lit(shards) / F.col("seats")).cast("int")
-    return awarded.groupBy("rank", shard.alias("shard")).agg(F.count(F.lit(1)).alias("blocks"))
+    whole = (awarded.groupBy("rank", shard.alias("shard")).agg(F.count(F.lit(1)).alias("blocks"))
+             .withColumn("words", F.col("blocks") * block))
+    upto = lambda j: F.floor(_need() * j / shards)
+    settled = (targets.where(_settled(block)).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+               .withColumn("words", upto(F.col("shard") + 1) - upto(F.col("shard"))).where("words > 0")
+               .select("rank", "shard", F.lit(0).cast("long").alias("blocks"), "words"))
+    return whole.unionByName(settled)
 
 
 def chosen_blocks(targets: DataFrame, awarded: DataFrame, block: int) -> DataFrame:
-    """rank, block, times, base: how often each block is taken, and the words taken before it."""
+    """rank, block, times, part, base: how often each block is taken, its first words that are taken once more, and the words taken before it."""
     n = F.ceil(F.col("source_size") / F.lit(block)).cast("long")
     quota = awarded.groupBy("rank").agg(F.count(F.lit(1)).alias("quota"))
     every = (targets.where("source_size > 0").withColumn("n", n)
              .join(quota, "rank", "left")
              .select("rank", "source_size", "n", F.coalesce("quota", F.lit(0)).alias("quota"),
+                     _settled(block).alias("settled"), _need().alias("need"),
                      F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("block")))
     seeded = Window.partitionBy("rank").orderBy(F.md5(F.concat_ws("|", F.lit(SEED), F.col("rank").cast("string"), F.col("block").cast("string"))), "block")
     line = Window.partitionBy("rank").orderBy("block")
     length = F.least(F.lit(block), F.col("source_size") - F.col("block") * block)
     times = F.floor(F.col("quota") / F.col("n")) + F.when(F.col("place") <= F.pmod("quota", "n"), 1).otherwise(0)
+    rounds = F.floor(F.col("need") / F.col("source_size"))
+    part = F.greatest(F.lit(0), F.least(F.col("length"), F.col("need") - rounds * F.col("source_size") - F.col("before")))
     return (every.withColumn("place", F.row_number().over(seeded))
-            .withColumn("times", times.cast("long")).withColumn("words", (F.col("times") * length).cast("long"))
+            .withColumn("length", length).withColumn("before", F.sum("length").over(seeded) - F.col("length"))
+            .withColumn("times", F.when(F.col("settled"), rounds).otherwise(times).cast("long"))
+            .withColumn("part", F.when(F.col("settled"), part).otherwise(0).cast("long"))
+            .withColumn("words", (F.col("times") * F.col("length") + F.col("part")).cast("long"))
             .withColumn("base", F.sum("words").over(line) - F.col("words"))
-            .select("rank", "block", "times", "base"))
+            .select("rank", "block", "times", "part", "base"))
 
 
 def mixture(docs: DataFrame, shards: int = 8) -> tuple[DataFrame, DataFrame]:
@@ -121,14 +151,15 @@ def mixture(docs: DataFrame, shards: int = 8) -> tuple[DataFrame, DataFrame]:
                .withColumn("end", F.col("before") + F.col("_end"))
                .withColumn("start", F.col("end") - F.col("size"))
                .withColumn("b0", F.floor(F.col("start") / block)).withColumn("b1", F.floor((F.col("end") - 1) / block)))
-    first = blocks.select("rank", F.col("block").alias("b0"), F.col("times").alias("t0"), F.col("base").alias("s0"))
-    last = blocks.select("rank", F.col("block").alias("b1"), F.col("times").alias("t1"), F.col("base").alias("s1"))
-    taken = ((F.col("s1") + F.col("t1") * (F.col("end") - F.col("b1") * block))
-             - (F.col("s0") + F.col("t0") * (F.col("start") - F.col("b0") * block)))
+    first = blocks.select("rank", F.col("block").alias("b0"), F.col("times").alias("t0"), F.col("part").alias("p0"), F.col("base").alias("s0"))
+    last = blocks.select("rank", F.col("block").alias("b1"), F.col("times").alias("t1"), F.col("part").alias("p1"), F.col("base").alias("s1"))
+    x0, x1 = F.col("start") - F.col("b0") * block, F.col("end") - F.col("b1") * block
+    taken = ((F.col("s1") + F.col("t1") * x1 + F.least(x1, F.col("p1")))
+             - (F.col("s0") + F.col("t0") * x0 + F.least(x0, F.col("p0"))))
     out = (on_line.join(first, ["rank", "b0"], "left").join(last, ["rank", "b1"], "left")
            .select("doc_id", "size", "source_size", "target",
                    F.when(F.col("size") > 0, taken).otherwise(0).cast("long").alias("taken")))
-    return out, quotas(awarded, shards)
+    return out, quotas(targets, awarded, block, shards)
 
 
 def _write_out(names: list[str]):

@@ -156,6 +156,23 @@ def test_mixture_edges(spark):
     assert mixture(frame(spark, rows).limit(0))[0].count() == 0
 
 
+def test_mixture_settles_sources_of_few_blocks(spark, monkeypatch):
+    import kinelab.llm.mixing as m
+    monkeypatch.setattr(m, "BLOCKS", 64)
+    monkeypatch.setattr(m, "LEAST_BLOCKS", 16, raising=False)
+    words = {"a": (20, 1), "b": (300, 10), "c": (101, 3), "d": (4, 2), "e": (300, 11), "f": (120, 2), None: (9, 5)}
+    rows = [(1000 * k + i, "w " * n, s) for k, (s, (docs, n)) in enumerate(words.items()) for i in range(docs)]
+    out, quotas = mixture(frame(spark, rows))
+    sizes, target, taken = check_mix(out.collect(), rows)
+    block = sum(sizes.values()) // 64
+    assert block > 90 and all(abs(taken[s] - target[s]) <= (1 if sizes[s] < 16 * block else 3 * block) for s in sizes)
+    dealt = Counter()
+    for r in quotas.collect():
+        dealt[r["rank"]] += r["words"]
+    for rank, s in enumerate(["a", "b", "c", "d", "e", "f", None], 1):
+        assert dealt[rank] == taken[s] or sizes[s] >= 16 * block
+
+
 def test_mixed_documents_hold_the_taken_words(spark):
     rows = [(i, " ".join(f"w{i}x{j}" for j in range(1 + i % 17)), f"s{i % 4}") for i in range(200)] + [(900, None, "s1")]
     docs = frame(spark, rows).select("doc_id", "text", "lang", "source", "n_chars")
