@@ -10,9 +10,12 @@ slots. A page whose shape the wrapper has met only adds its texts.
 
 The wrapper then says which text slots are main text: those under the article
 or main element, or, where the template has none, those in the smallest
-container that holds most of the varying text; menus, headers, footers,
-sidebars, notices, adverts, forms, comments and the like are left out by the
-elements on their path.
+container that holds all the varying text; menus, headers, footers, sidebars,
+notices, adverts, forms, comments and the like are left out by the elements on
+their path. An element whose class, id or role is the name of such a part is
+left out; one that only has a word of it in its name ("related-work") is left
+out if its texts repeat from page to page of a host whose pages differ.
+Headings, body and html are never left out by a name.
 
 Pages are sorted by host over range partitions, so a host with a third of all
 pages spreads over tasks; a task holds ``CHUNK`` pages (or ``CHUNK_BYTES``) at a
@@ -36,8 +39,6 @@ from pyspark.sql import functions as F
 from kinelab.llm.common import small_batches
 
 CHUNK, CHUNK_BYTES = 256, 8 << 20
-#: Share of the varying text that the main container of a template without article element holds.
-MOST_TEXT = 0.6
 
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 "
                    "h4 h5 h6 head header hgroup hr html legend li main menu nav ol option optgroup p pre search section summary table tbody td tfoot th "
@@ -47,12 +48,14 @@ RAW = frozenset("script style textarea title xmp noembed noframes iframe".split(
 #: Elements that never hold main text.
 LEFT_OUT = frozenset("head nav header footer aside form script style noscript template textarea title select button dialog menu search iframe object "
                      "svg math canvas audio video datalist input label".split())
-#: Words of class and id attributes, and roles, that mark boilerplate.
+#: Words of class and id attributes, and roles, that mark boilerplate; a name of such words alone is sure to.
 HINTS = frozenset("ad ads adv advert advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices "
                   "notification alert popup modal overlay newsletter subscribe subscription signup login sidebar menu nav navbar navigation breadcrumb "
                   "breadcrumbs footer header masthead comment comments commentlist disqus replies reply respond share sharing social related recommended "
                   "recommendations widget pagination pager skip toolbar contentinfo complementary search".split())
 MAIN = frozenset(("article", "main"))
+#: Elements that a hint says nothing about.
+UNMARKED = frozenset("html body h1 h2 h3 h4 h5 h6".split())
 #: What a start tag ends when it is still open: paragraphs end at blocks, items at their like.
 _ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
          "option": ("option",), "tbody": ("tbody", "thead", "tr", "td", "th"), "body": ("head",)}
@@ -64,21 +67,23 @@ _WORD = re.compile(r"[a-zA-Z]+")
 
 
 class Element:
-    __slots__ = ("tag", "label", "out", "main", "items")
+    __slots__ = ("tag", "label", "out", "main", "hinted", "items")
 
-    def __init__(self, tag: str, label: str, out: bool, main: bool):
-        self.tag, self.label, self.out, self.main, self.items = tag, label, out, main, []
+    def __init__(self, tag: str, label: str, out: bool, main: bool, hinted: bool = False):
+        self.tag, self.label, self.out, self.main, self.hinted, self.items = tag, label, out, main, hinted, []
 
 
 def _describe(tag: str, attrs: str, parent: Element) -> Element:
-    words: list[str] = []
+    names: list[list[str]] = []
     if "=" in attrs:
         for _, a, b, c in _ATTR.findall(attrs):
-            words += [w.lower() for w in _WORD.findall(a or b or c)]
-    marked = bool(words) and not HINTS.isdisjoint(words)
-    holds = tag in MAIN or (words and "main" in words and tag in ("div", "section"))
+            names += [[w.lower() for w in _WORD.findall(name)] for name in (a or b or c).split()]
+    words = {w for name in names for w in name}
+    free = tag in UNMARKED or HINTS.isdisjoint(words)
+    marked = not free and any(name and HINTS.issuperset(name) for name in names)
+    holds = tag in MAIN or ("main" in words and tag in ("div", "section") and any("main" in name and HINTS.isdisjoint(name) for name in names))
     out = tag in LEFT_OUT or marked or (parent.out and not (tag in MAIN))
-    return Element(tag, ".".join([tag, *sorted(set(words))]), out, (parent.main or bool(holds)) and not out)
+    return Element(tag, ".".join([tag, *sorted(words), *["!"] * marked]), out, (parent.main or bool(holds)) and not out, not free)
 
 
 def parse(page: str) -> Element:
@@ -157,17 +162,18 @@ def parse(page: str) -> Element:
 class Node:
     """One item of a wrapper: a text slot (label '') or an element with items."""
 
-    __slots__ = ("label", "items", "optional", "repeated", "out", "main", "value", "pages", "chars")
+    __slots__ = ("label", "items", "optional", "repeated", "out", "main", "hinted", "value", "pages", "chars", "texts")
 
-    def __init__(self, label: str, out: bool, main: bool):
-        self.label, self.out, self.main, self.items = label, out, main, []
+    def __init__(self, label: str, out: bool, main: bool, hinted: bool = False):
+        self.label, self.out, self.main, self.hinted, self.items = label, out, main, hinted, []
         self.optional = self.repeated = False
         self.value, self.pages, self.chars = None, 0, 0
+        self.texts = None  # hash of a page's texts in this slot, False where pages differ
 
 
 def template(e: Element) -> Node:
     """The expression of a single page: equal neighbours folded into groups."""
-    node = Node(e.label, e.out, e.main)
+    node = Node(e.label, e.out, e.main, e.hinted)
     for x in e.items:
         node.items.append(Node("", e.out, e.main) if isinstance(x, str) else template(x))
     node.items = fold(node.items)
@@ -241,6 +247,8 @@ class Wrapper:
     def __init__(self) -> None:
         self.root: Node | None = None
         self.shapes: set = set()
+        self.learned = 0
+        self.left_out: set[int] = set()
 
     def learn(self, page: Element) -> None:
         s = shape(page)
@@ -251,7 +259,9 @@ class Wrapper:
                 self.root = new
             else:
                 merge(self.root, new)
+        on_page: dict[int, tuple[Node, list[str]]] = {}
         for slot, block in read(self.root, page):
+            on_page.setdefault(id(slot), (slot, []))[1].append(block)
             slot.pages += 1
             slot.chars += len(block)
             if slot.value is None:
@@ -259,19 +269,40 @@ class Wrapper:
             elif slot.value != block:
                 slot.value = False  # a slot: its text varies
 
+        self.learned += 1
+        for slot, blocks in on_page.values():
+            texts = hash(tuple(blocks))
+            slot.texts = texts if slot.texts is None or slot.texts == texts else False
+
+    def repeating(self) -> set[int]:
+        """Slots of hinted elements whose texts repeat, on a host whose pages differ."""
+        found: set[int] = set()
+        if self.learned > 1 and any(s.texts is False for s in leaves(self.root)):
+            stack = [self.root]
+            while stack:
+                node = stack.pop()
+                slots = [s for s in leaves(node) if not s.out] if node.hinted else []
+                if slots and all(s.pages > 1 and s.texts is not False for s in slots):
+                    found.update(id(s) for s in slots)
+                else:
+                    stack += [c for c in node.items if c.label]
+        return found
+
     def main_slots(self) -> set[int]:
-        slots = list(leaves(self.root))
+        self.left_out = self.repeating()
+        slots = [s for s in leaves(self.root) if not s.out and id(s) not in self.left_out]
         under = {id(s) for s in slots if s.main}
         if under:
             return under
-        varying = lambda n: sum(s.chars for s in leaves(n) if not s.out and (s.value is False or s.pages == 1))
+        kept = {id(s) for s in slots}
+        varying = lambda n: sum(s.chars for s in leaves(n) if id(s) in kept and (s.value is False or s.pages == 1))
         node, total = self.root, varying(self.root)
         while total:
             child = max((c for c in node.items if c.label), key=varying, default=None)
-            if child is None or child.repeated or varying(child) < MOST_TEXT * total or not any(c.label for c in child.items):
+            if child is None or child.repeated or varying(child) < total or not any(c.label for c in child.items):
                 break
             node = child
-        return {id(s) for s in leaves(node) if not s.out}
+        return {id(s) for s in leaves(node) if id(s) in kept}
 
 
 def leaves(node: Node) -> Iterator[Node]:
@@ -302,7 +333,7 @@ def read(node: Node, e: Element) -> Iterator[tuple[Node, str]]:
 def main_text(wrapper: Wrapper, slots: set[int], page: Element) -> str:
     found = list(read(wrapper.root, page))
     blocks = [b for s, b in found if id(s) in slots]
-    if not blocks and any(b for s, b in found if not s.out):  # a page unlike its host's others
+    if not blocks and any(b for s, b in found if not s.out and id(s) not in wrapper.left_out):  # a page unlike its host's others
         own = Wrapper()
         own.learn(page)
         mine = own.main_slots()

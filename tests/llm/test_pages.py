@@ -119,6 +119,27 @@ def test_template_without_article_element(spark):
         assert got[i] == want
 
 
+def test_title_and_lead_beside_the_body_are_kept(spark):
+    def page(i):
+        return (i, f"http://h.example/{i}", f"<html><body class=has-sidebar><div id=top><a href=/>Home</a></div><div id=c><h2>Title {i}</h2><p class=lead>Lead {i}</p>"
+                f"<div class=body>{''.join(f'<p>Body {i} paragraph {j} with enough words.</p>' for j in range(4 + i % 3))}</div></div>"
+                "<div class=sidebar-left>Archive</div></body></html>")
+    got = {r["page_id"]: r["text"] for r in extract(frame(spark, [page(i) for i in range(8)])).collect()}
+    for i in range(8):
+        assert got[i] == "\n\n".join([f"Title {i}", f"Lead {i}"] + [f"Body {i} paragraph {j} with enough words." for j in range(4 + i % 3)])
+
+
+def test_names_with_a_hint_word_are_no_boilerplate(spark):
+    def page(i, host):
+        return (i, f"http://{host}/{i}", f"<body><article><h2 id=related-work>Related {i}</h2><p>Text {i}</p><section id=social-impact><h3>Impact</h3><p>Impact {i}</p></section>"
+                "<div class=share-row><p>Share</p><p>Mail</p></div><div class=related>More</div></article></body>")
+    got = {r["page_id"]: r["text"] for r in extract(frame(spark, [page(i, "h.example") for i in range(6)] + [page(9, "lone.example")])).collect()}
+    for i in range(6):
+        assert got[i] == f"Related {i}\n\nText {i}\n\nImpact\n\nImpact {i}"
+    assert got[9] == "Related 9\n\nText 9\n\nImpact\n\nImpact 9\n\nShare\n\nMail"
+    assert one("<body class='has-sidebar'><p>kept</p><div id='main-menu'>no main</div></body>").startswith("kept")
+
+
 def test_wrapper_has_optional_and_repeated_groups():
     w = Wrapper()
     for n, extra in ((1, ""), (3, "<h3>x</h3>"), (2, "")):
