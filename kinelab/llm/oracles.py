@@ -105,10 +105,27 @@ m AS (SELECT id, min(c) AS component_id FROM r GROUP BY id)
 SELECT doc_id, coalesce(len(s), 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM t JOIN m ON doc_id = id
 """
 
+OP13 = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id AS other, a.label = c.label AS same, list_inner_product(a.v, c.v)::BIGINT AS score
+      FROM e a JOIN e c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id AND len(a.v) = len(c.v)),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER o)::INT AS rank, other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 100 * score BETWEEN 50 * positive_score AND 95 * positive_score
+WINDOW o AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)
+QUALIFY row_number() OVER o <= 3
+"""
+
 SQL = {
     "op1_warc": OP1,
     "op4_licenses": _op4(),
     "op5_vector_links": OP5,
     "op7_mixture": OP7,
     "op9_near_duplicates": OP9,
+    "op13_hard_negatives": OP13,
 }

@@ -15,6 +15,11 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_model() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinelab.llm.warc import read_archives, write_archives
     path = scratch_path(spark, "archives")
@@ -70,6 +75,23 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinelab.llm.periodic import periodic_runs, run_digests, with_planted_tails
+    return run_digests(periodic_runs(with_planted_tails(documents(spark, sf_dir))))
+
+
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinelab.llm.pieces import encode_pieces, piece_digests
+    return piece_digests(encode_pieces(documents(spark, sf_dir), piece_model()))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinelab.llm.hardneg import hard_negatives, integer_vectors
+    rows = integer_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 256)
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_quality": op2_quality,
@@ -81,4 +103,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_main_text": op10_main_text,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_pieces": op12_pieces,
+    "op13_hard_negatives": op13_hard_negatives,
 }
