@@ -33,6 +33,7 @@ import re
 import struct
 from array import array
 from collections.abc import Iterator
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -176,21 +177,25 @@ def _valid(data: bytes) -> bool:
 
 
 class Chunks(dict):
-    """Chunk -> (id, normalised bytes) of its pieces as int32 pairs; merged when it is first looked up."""
+    """Chunk -> (id, normalised bytes) of its pieces as int32 pairs; merged when it is first looked up.
+
+    When ``MEMO`` chunks are held they become the old ones, and those held
+    before leave; a chunk that is looked up among the old ones is held again.
+    """
 
     def __init__(self, model: PieceModel):
-        self.model = model
+        self.model, self.old = model, {}
 
     def __missing__(self, chunk: str) -> bytes:
-        short = len(chunk) <= MEMO_CHARS
-        got = array("i")
-        for part in (chunk,) if short else self.model.cut(chunk):
-            got.extend(self.model.merge(part))
-        packed = got.tobytes()
-        if short:
-            if len(self) >= MEMO:
-                self.clear()
-            self[chunk] = packed
+        packed = self.old.get(chunk)
+        if packed is None:
+            if len(chunk) > MEMO_CHARS:
+                return array("i", [x for part in self.model.cut(chunk) for x in self.model.merge(part)]).tobytes()
+            packed = array("i", self.model.merge(chunk)).tobytes()
+        if len(self) >= MEMO:
+            self.old = dict(self)
+            self.clear()
+        self[chunk] = packed
         return packed
 
 
@@ -219,6 +224,7 @@ class PieceModel:
         blank = lambda text: text.replace(MARK, " ").encode()
         surface = {CONTROL: lambda p: b"", UNKNOWN: lambda p: proto.trainer_spec.unk_surface.encode(), BYTE: lambda p: bytes([int(p.piece[3:5], 16)])}
         self.surface = [surface.get(p.type, lambda p: blank(p.piece))(p) for p in proto.pieces]
+        self.empty = {i for i, x in enumerate(self.surface) if not x}
         self.marked = [p.type in (NORMAL, UNUSED) and p.piece.startswith(MARK) for p in proto.pieces]
         self.near = {p.piece[i:i + 2] for p in proto.pieces if p.type in (NORMAL, UNUSED) for i in range(len(p.piece) - 1)}
         self.parts = next(p for p in _CHUNKS if all(len(p.findall(ab)) == 1 for ab in self.near))
@@ -241,19 +247,21 @@ class PieceModel:
         if len(part) > MEMO_CHARS:
             part = self._merge_long(part, halves)
         elif len(part) > 1:
-            rank = self.rank
-            ranks = [rank.get(a + b, _NEVER) for a, b in zip(part, part[1:])]
-            while ranks and (best := min(ranks)) < _NEVER:
+            rank, unused = self.rank.get, self.unused
+            ranks = [rank(both, _NEVER) for both in map(add, part, part[1:])]
+            ranks.append(_NEVER)  # one for each piece with its right neighbour
+            while (best := min(ranks)) < _NEVER:
                 i = ranks.index(best)
-                both = part[i] + part[i + 1]
-                if both in self.unused:
-                    halves[both] = (part[i], part[i + 1])
-                part[i:i + 2] = [both]
+                right = part.pop(i + 1)
                 del ranks[i]
+                both = part[i] + right
+                if unused and both in unused:
+                    halves[both] = (part[i], right)
+                part[i] = both
                 if i:
-                    ranks[i - 1] = rank.get(part[i - 1] + both, _NEVER)
-                if i < len(ranks):
-                    ranks[i] = rank.get(both + part[i + 1], _NEVER)
+                    ranks[i - 1] = rank(part[i - 1] + both, _NEVER)
+                if i + 1 < len(part):
+                    ranks[i] = rank(both + part[i + 1], _NEVER)
         if halves:
             part = [x for piece in part for x in self._split(piece, halves)]
         out = []
@@ -321,6 +329,10 @@ class PieceModel:
 
     def decode(self, ids: list[int]) -> bytes:
         """The text of the ids, in UTF-8."""
+        if ids and not (self.tight or self.suffix or self.back) and self.empty.isdisjoint(ids):
+            text = b"".join([self.surface[i] for i in ids])
+            if _valid(text):  # so is every row of byte pieces, as all pieces between them are
+                return text[1:] if self.front and self.marked[ids[0]] else text
         out, waiting, front, marked = bytearray(), bytearray(), True, False
         for i in ids:
             if self.kind[i] == BYTE:
