@@ -59,3 +59,5 @@ ASOF_MAX_EXPLODE = 8
 FOLD_BUCKET_SECONDS = 86_400
 # Largest number of rows per column-oriented JSON log document.
 LOG_DOC_ROWS = 1_000
+# CSV: a record with quoted line feeds is put together up to this size.
+RECORD_BYTES = 64 << 20

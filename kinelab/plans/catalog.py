@@ -434,6 +434,32 @@ def q_s1_rejected_lines(spark, d):
             .unionByName(parsed.rejected.agg(F.count(F.lit(1)).alias("n")).select(F.lit("rejected").alias("kind"), "n")))
 
 
+def _note(n):
+    """Notes with quotes, commas and line feeds, among them one that looks like a reading of its own."""
+    return (F.when(n % 4 == 0, F.concat(F.lit("a\nb "), n.cast("string")))
+            .when(n % 4 == 1, F.concat(n.cast("string"), F.lit(",0.9\n"), n.cast("string"), F.lit(",y,0.9")))
+            .when(n % 4 == 2, F.concat(F.lit('say "x",\n\n"'), n.cast("string"), F.lit('"')))
+            .otherwise(F.lit("plain")))
+
+
+def q_s1_quoted_line_feeds(spark, d):
+    """Reading files with a note column that holds quoted line feeds, in two column orders: the notes come back, no reading is invented."""
+    r = tb.readings_events(spark, d).withColumn("note", _note(F.col("tiebreak"))).withColumn("label_file", _label_file(F.col(C.KEY)))
+    path = scratch_path(spark, "quoted_csv")
+    csvsrc.write_readings_folder(r.where("tiebreak % 3 <> 0").select("note", C.READING_TIME, C.READING, "label_file"), path)
+    csvsrc.write_readings_folder(r.where("tiebreak % 3 = 0").select(C.READING_TIME, C.READING, "note", "label_file"), path, mode="append")
+    return csvsrc.read_readings_folder(spark, path, pattern=LONG_KEY, key_from="parent_dir", columns=(C.READING_TIME, C.READING, "note"))
+
+
+def q_s2_quoted_line_feeds(spark, d):
+    """Sensor files with quoted line feeds in a column that is not read."""
+    path = scratch_path(spark, "quoted_sensor_csv")
+    s = tb.sensor_events(spark, d)
+    (s.select(_note(F.col("event_id")).alias("note"), F.col(C.KEY).cast("string").alias("pid"), F.col(C.TIME_MS).alias("time"), "x", "y", "z")
+     .write.options(header=True, **csvsrc.QUOTES).csv(path))
+    return _windows_out(tumbling_mean(csvsrc.read_sensor_csv(spark, path), DAY))
+
+
 def q_s2_sensor_csv(spark, d):
     """Sensor samples written as CSV, read back with an explicit schema, windowed."""
     path = scratch_path(spark, "sensor_csv")
@@ -653,6 +679,12 @@ def _s1_sql(key: str, where: str = "") -> str:
 
 
 SQL_S1 = _s1_sql("user_id")
+SQL_S1_QUOTED = SQL_S1.replace("FROM events", """, CASE event_id % 4
+  WHEN 0 THEN 'a' || chr(10) || 'b ' || event_id
+  WHEN 1 THEN event_id || ',0.9' || chr(10) || event_id || ',y,0.9'
+  WHEN 2 THEN 'say "x",' || chr(10) || chr(10) || '"' || event_id || '"'
+  ELSE 'plain' END AS note
+FROM events""")
 SQL_S1_MIXED = _s1_sql("user_id", "AND event_id % 10 <> 0 AND event_id % 13 <> 0")
 SQL_S1_REJECTED = """SELECT 'rows' AS kind, count(*) FILTER (WHERE event_id % 13 <> 0) AS n FROM events WHERE event_type = 'purchase' AND event_id % 10 <> 0
 UNION ALL SELECT 'rejected', count(*) FILTER (WHERE event_id % 13 = 0) FROM events WHERE event_type = 'purchase' AND event_id % 10 <> 0"""
@@ -722,6 +754,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "s1_long_keys": q_s1_long_keys,
     "s1_mixed_headers": q_s1_mixed_headers,
     "s1_rejected_lines": q_s1_rejected_lines,
+    "s1_quoted_line_feeds": q_s1_quoted_line_feeds,
+    "s2_quoted_line_feeds": q_s2_quoted_line_feeds,
     "w2_null_key": q_w2_null_key,
     "j1_fractional_times_broadcast": _j1_fractional("broadcast"),
     "j1_fractional_times_bucketed": _j1_fractional("bucketed"),
@@ -781,6 +815,8 @@ SQL: dict[str, str] = {
     "s1_long_keys": _s1_sql("user_id * 10 + 9000"),
     "s1_mixed_headers": SQL_S1_MIXED,
     "s1_rejected_lines": SQL_S1_REJECTED,
+    "s1_quoted_line_feeds": SQL_S1_QUOTED,
+    "s2_quoted_line_feeds": SQL_S2,
     "w2_null_key": SQL_FOLDS_NULL,
     "j1_fractional_times_broadcast": SQL_J1_FRACTIONAL,
     "j1_fractional_times_bucketed": SQL_J1_FRACTIONAL,
