@@ -61,3 +61,5 @@ FOLD_BUCKET_SECONDS = 86_400
 LOG_DOC_ROWS = 1_000
 # CSV: a record with quoted line feeds is put together up to this size.
 RECORD_BYTES = 64 << 20
+# Column-oriented JSON: files above this size are cut into splits (one task each) instead of read line by line.
+LOG_FILE_BYTES = 64 << 20

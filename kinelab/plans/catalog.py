@@ -23,6 +23,7 @@ from kinelab.session import scratch_path
 from kinelab.sources import csv as csvsrc
 from kinelab.sources import tables as tb
 from kinelab.sources import telemetry as tel
+from kinelab.sources.column_json import parse_column_documents, write_column_document
 from kinelab.sources.parquet_io import read_partitioned, read_stage
 from kinelab import schemas
 
@@ -197,6 +198,13 @@ def q_s8_column_log(spark, d):
     return tel.read_column_log(spark, path)
 
 
+def q_s8_single_document(spark, d):
+    """The whole scored log as one document, read back by many tasks (one for each 64 KiB)."""
+    path = scratch_path(spark, "columndoc")
+    write_column_document(tb.scored_log(spark, d), path, "event_id")
+    return parse_column_documents(spark, path, split_bytes=64 << 10).rows
+
+
 # ----------------------------------------------------------------- folds
 def q_w2_stratified_folds(spark, d):
     s = tb.sensor_events(spark, d).withColumn(
@@ -731,6 +739,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a4_live_shares": q_a4_live_shares,
     "a5_psi": q_a5_psi,
     "s8_column_log": q_s8_column_log,
+    "s8_single_document": q_s8_single_document,
     "w2_stratified_folds": q_w2_stratified_folds,
     "a8_binary_metrics": q_a8_binary_metrics,
     "t5_latest_run": q_t5_latest_run,
@@ -792,6 +801,7 @@ SQL: dict[str, str] = {
     "a4_live_shares": SQL_LIVE_SHARES,
     "a5_psi": SQL_PSI,
     "s8_column_log": SQL_S8,
+    "s8_single_document": SQL_S8,
     "w2_stratified_folds": SQL_FOLDS,
     "a8_binary_metrics": SQL_A8,
     "t5_latest_run": SQL_T5,

@@ -1,0 +1,82 @@
+"""Column-oriented documents cut at any byte: against the json module and pandas."""
+
+import json
+import random
+
+import pandas as pd
+import pytest
+
+from kinelab import config as C
+from kinelab.sources import column_json, telemetry
+from kinelab.sources.column_json import parse_column_documents, write_column_document
+
+WANTED = {"timestamp": "bigint", "is_intoxicated": "boolean", "note": "string"}
+
+
+def rows_of(document):
+    labels = dict.fromkeys(k for c in document.values() for k in c)
+    return [(k, document.get("timestamp", {}).get(k), document.get("is_intoxicated", {}).get(k), document.get("note", {}).get(k)) for k in labels]
+
+
+def document(rng, n):
+    text = lambda: "".join(rng.choice(["a", ",", "}", "{", '"', "\\", ":", "\n", "é", "},{"]) for _ in range(rng.randint(0, 8)))
+    label = lambda i: f"{i}" if rng.random() < 0.8 else f"{i}{text()}"
+    labels = [label(i) for i in range(n)]
+    some = lambda: [k for k in labels if rng.random() < 0.9]
+    columns = {"timestamp": {k: rng.choice([rng.randint(0, 10**13), None]) for k in some()},
+               "other": {k: rng.random() for k in some()},
+               "is_intoxicated": {k: rng.choice([True, False, None]) for k in some()},
+               "note": {k: text() for k in some()}}
+    names = list(columns)
+    rng.shuffle(names)
+    return {c: columns[c] for c in names}
+
+
+@pytest.mark.parametrize("split", [30, 700, None])
+def test_documents_against_json(spark, tmp_path, split):
+    rng, want = random.Random(6), []
+    for k in range(6):
+        docs = [document(rng, rng.choice([0, 1, 5, 60])) for _ in range(rng.choice([1, 1, 4]))]
+        wanted = lambda d: {c: v for c, v in d.items() if c != "other"}
+        want += [r for d in docs for r in rows_of(wanted(d))]
+        lay = rng.choice([{}, {"indent": 1}, {"separators": (",", ":")}, {"ensure_ascii": False}])
+        (tmp_path / f"log{k}.json").write_text("\n".join(json.dumps(d, **lay) for d in docs))
+    (tmp_path / "empty.json").write_text("")
+    parsed = parse_column_documents(spark, f"file://{tmp_path}", WANTED, split_bytes=split)
+    assert sorted(map(tuple, parsed.rows.collect()), key=str) == sorted(want, key=str)
+    assert parsed.rejected.count() == 0
+
+
+@pytest.mark.parametrize("split", [40, None])
+def test_pandas_layout_and_rejected_pieces(spark, tmp_path, split):
+    frame = pd.DataFrame({"timestamp": [1, 2, 3], "is_intoxicated": [True, False, True]})
+    (tmp_path / "a.json").write_text(frame.to_json())
+    (tmp_path / "b.json").write_text('{"timestamp":{"7":70,"8":[1,2],"9":90,"9":91},"is_intoxicated":{"9":true}}')
+    parsed = parse_column_documents(spark, f"file://{tmp_path}", split_bytes=split)
+    got = sorted(map(tuple, parsed.rows.collect()))
+    assert got == [("0", 1, True), ("1", 2, False), ("2", 3, True), ("7", 70, None), ("9", 91, True)]
+    assert [r["line"] for r in parsed.rejected.collect()] != []
+
+
+def test_a_single_document_is_read_by_several_tasks(spark, tmp_path, monkeypatch, scratch):
+    log = spark.range(3000).selectExpr("id", "id * 1000 as timestamp", "if(id % 7 = 0, null, id % 3 = 0) as is_intoxicated")
+    path = scratch("doc")
+    write_column_document(log, path, "id")
+    read = spark.read.option("lineSep", ",").text(path)
+    assert read.count() == 6000
+    want = sorted((str(r["id"]), r["timestamp"], r["is_intoxicated"]) for r in log.collect())
+    size = 8 << 10
+    with column_json._split_size(spark, size):
+        assert spark.read.option("lineSep", ",").text(path).rdd.getNumPartitions() > 4
+    assert sorted(map(tuple, parse_column_documents(spark, path, split_bytes=size).rows.collect())) == want
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") != str(size)
+    monkeypatch.setattr(C, "LOG_FILE_BYTES", 1000)  # the reader of logs chooses by file size
+    assert sorted(map(tuple, telemetry.read_column_log(spark, path).collect())) == want
+    write_column_document(log.limit(0), scratch("none"), "id")
+
+
+def test_an_empty_document(spark, scratch):
+    path = scratch("none")
+    write_column_document(spark.range(0).selectExpr("id", "id as timestamp", "true as is_intoxicated"), path, "id")
+    parsed = parse_column_documents(spark, path)
+    assert parsed.rows.count() == parsed.rejected.count() == 0
