@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinelab import config as C
-from kinelab.operators import drift, features, folds, opsmetrics, registry
+from kinelab.operators import counters, drift, features, folds, opsmetrics, registry
 from kinelab.operators.asof import asof_join
 from kinelab.operators.model import binary_metrics
 from kinelab.operators.sampling import sample_rows
@@ -286,6 +286,39 @@ def q_a12_error_rate(spark, d):
     return r.select("job", "instance", "window_start_s", "errors", r6("rate").alias("rate"))
 
 
+SCRAPE, STEP = 900, 600
+
+
+def counter_samples(spark, d) -> DataFrame:
+    """Counters of the HTTP log: scraped every 15 minutes, some scrapes missed, restarted every 97 scrapes."""
+    http = tb.http_log(spark, d).withColumn("i", F.floor((F.unix_seconds("ts") - F.col("instance").cast("long") * 7) / SCRAPE) + 1)
+    counts = http.groupBy("job", "instance", "code", "i").agg(F.count(F.lit(1)).alias("n"))
+    span = counts.agg(F.min("i"), F.max("i")).first()
+    if span[0] is None:
+        span = (0, 0)
+    grid = counts.select("job", "instance", "code").distinct().withColumn("i", F.explode(F.sequence(F.lit(span[0]), F.lit(span[1] + 3))))
+    life = F.floor((F.col("i") - 13 - 5 * F.col("instance").cast("long")) / 97)
+    upto = Window.partitionBy("job", "instance", "code", "life").orderBy("i")
+    return (grid.join(counts, ["job", "instance", "code", "i"], "left").withColumn("life", life)
+            .withColumn("value", F.sum(F.coalesce("n", F.lit(0))).over(upto).cast("double"))
+            .where(F.pmod("i", F.lit(31)) != 7)
+            .select("job", "instance", "code", (F.col("i") * SCRAPE + F.col("instance").cast("long") * 7).alias("at_s"), "value"))
+
+
+def q_a12_counter_rates(spark, d):
+    """Rates of every series at every evaluation time."""
+    return counters.rates(counter_samples(spark, d), HOUR, STEP).select("job", "instance", "code", "t_s", "n", r6("rate").alias("rate"))
+
+
+def q_a12_counter_error_rates(spark, d):
+    return counters.error_rates(counter_samples(spark, d), HOUR, STEP).select("job", "instance", "window_start_s", r6("rate").alias("rate"))
+
+
+def q_a13_counter_alert(spark, d):
+    """A13 over evaluation times: the condition held for half an hour."""
+    return opsmetrics.sustained(counters.error_rates(counter_samples(spark, d), HOUR, STEP), STEP, 1800)
+
+
 def q_a13_sustained(spark, d):
     return opsmetrics.sustained(_rates(spark, d), HOUR, HOUR)
 
@@ -674,6 +707,32 @@ SQL_A13 = f"""WITH r AS (SELECT *, CAST(window_start_s / {HOUR} AS BIGINT)
 SELECT job, instance, min(window_start_s) AS start_s, max(window_start_s) + {HOUR} AS end_s,
   count(*) AS n_windows FROM r GROUP BY job, instance, g HAVING (count(*) - 1) * {HOUR} >= {HOUR}"""
 
+COUNTERS = f"""WITH h AS (SELECT CASE WHEN event_type = 'error' THEN '500' ELSE '200' END AS code, user_id % 4 AS inst,
+    CAST(floor((floor(epoch_us(ts) / 1000000.0) - user_id % 4 * 7) / {SCRAPE}) AS BIGINT) + 1 AS i FROM events),
+c AS (SELECT code, inst, i, count(*) AS n FROM h GROUP BY ALL),
+g AS (SELECT code, inst, unnest(range((SELECT min(i) FROM c), (SELECT max(i) FROM c) + 4)) AS i FROM (SELECT DISTINCT code, inst FROM c)),
+v AS (SELECT code, inst, i, sum(coalesce(n, 0)) OVER (PARTITION BY code, inst, CAST(floor((i - 13 - 5 * inst) / 97.0) AS BIGINT) ORDER BY i) AS value
+      FROM g LEFT JOIN c USING (code, inst, i))
+SELECT 'scoring-api' AS job, CAST(inst AS VARCHAR) AS instance, code, i * {SCRAPE} + inst * 7 AS at_s, CAST(value AS DOUBLE) AS value
+FROM v WHERE ((i % 31) + 31) % 31 <> 7"""
+
+COUNTER_RATES = f"""WITH s AS ({COUNTERS}),
+t AS (SELECT unnest(range(CAST(floor((SELECT min(at_s) FROM s) / {STEP}) AS BIGINT), CAST(ceil(((SELECT max(at_s) FROM s) + {HOUR}) / {STEP}) AS BIGINT) + 1)) * {STEP} AS t_s),
+j AS (SELECT job, instance, code, t_s, at_s, value, lag(value) OVER w AS before FROM s JOIN t ON at_s > t_s - {HOUR} AND at_s <= t_s
+      WINDOW w AS (PARTITION BY job, instance, code, t_s ORDER BY at_s)),
+a AS (SELECT job, instance, code, t_s, count(*) AS n, min(at_s) AS t0, max(at_s) AS t1, arg_min(value, at_s) AS v0,
+        arg_max(value, at_s) - arg_min(value, at_s) + sum(CASE WHEN value < before THEN before ELSE 0 END) AS inc FROM j GROUP BY ALL HAVING count(*) >= 2),
+x AS (SELECT *, (t1 - t0)::DOUBLE AS span, (t1 - t0)::DOUBLE / (n - 1) AS gap, t0 - (t_s - {HOUR}) AS lo, t_s - t1 AS hi FROM a),
+y AS (SELECT *, CASE WHEN lo >= gap * 1.1 THEN gap / 2 ELSE lo END AS e0, CASE WHEN hi >= gap * 1.1 THEN gap / 2 ELSE hi END AS e1 FROM x)
+SELECT job, instance, code, t_s, n, inc * ((span + CASE WHEN inc > 0 AND v0 >= 0 AND span * v0 / inc < e0 THEN span * v0 / inc ELSE e0 END + e1) / span) / {HOUR} AS rate FROM y"""
+
+COUNTER_ERRORS = f"SELECT job, instance, t_s AS window_start_s, sum(rate) AS rate FROM ({COUNTER_RATES}) WHERE code <> '200' GROUP BY ALL HAVING sum(rate) > 0"
+
+SQL_A13_COUNTERS = f"""WITH r AS (SELECT *, CAST(window_start_s / {STEP} AS BIGINT)
+  - row_number() OVER (PARTITION BY job, instance ORDER BY window_start_s) AS g FROM ({COUNTER_ERRORS}))
+SELECT job, instance, min(window_start_s) AS start_s, max(window_start_s) + {STEP} AS end_s,
+  count(*) AS n_windows FROM r GROUP BY job, instance, g HAVING (count(*) - 1) * {STEP} >= 1800"""
+
 SQL_S12 = f"""SELECT 'predictions' AS metric, 'pred' AS label_key, pred AS label_value,
   round(CAST(cnt AS DOUBLE), 6) AS value FROM ({SQL_A9})
 UNION ALL SELECT 'request_count', NULL, NULL, round(CAST(count(latency_s) AS DOUBLE), 6) FROM ({LOG})"""
@@ -753,6 +812,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a11_reload_count": q_a11_reload_count,
     "a12_error_rate": q_a12_error_rate,
     "a13_sustained_errors": q_a13_sustained,
+    "a12_counter_rates": q_a12_counter_rates,
+    "a12_counter_error_rates": q_a12_counter_error_rates,
+    "a13_counter_alert": q_a13_counter_alert,
     "s12_metrics_table": q_s12_metrics_table,
     "f7_f8_file_keys": q_f7_f8_file_keys,
     "t1_sorted_readings": q_t1_sorted_readings,
@@ -815,6 +877,9 @@ SQL: dict[str, str] = {
     "a11_reload_count": SQL_A11,
     "a12_error_rate": SQL_A12,
     "a13_sustained_errors": SQL_A13,
+    "a12_counter_rates": f"SELECT job, instance, code, t_s, n, round(rate, 6) AS rate FROM ({COUNTER_RATES})",
+    "a12_counter_error_rates": f"SELECT job, instance, window_start_s, round(rate, 6) AS rate FROM ({COUNTER_ERRORS})",
+    "a13_counter_alert": SQL_A13_COUNTERS,
     "s12_metrics_table": SQL_S12,
     "f7_f8_file_keys": SQL_F7,
     "t1_sorted_readings": SQL_T1,
