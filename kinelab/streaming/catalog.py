@@ -8,15 +8,18 @@ input are flushed as a batch, so the results hold every window.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinelab import config as C
-from kinelab.operators import opsmetrics
+from kinelab.operators import drift, opsmetrics
 from kinelab.plans import catalog as cat
 from kinelab.session import scratch_path
 from kinelab.sources import tables as tb
 from kinelab.sources.telemetry import requests_as_json
 from kinelab.streaming import jobs
+from kinelab.streaming.alerts import CHANGES, alert_changes
+from kinelab.streaming.newest import keep_newest, newest
 
 DELAY_S = 3_600
 DELAY = f"{DELAY_S} seconds"
@@ -61,6 +64,27 @@ def q_st4_stream_drift(spark, d):
     return psi.join(F.broadcast(last), "batch_id").select("target", cat.r6("psi").alias("psi"))
 
 
+def _newest_state(spark, d, name: str) -> DataFrame:
+    """The newest rows in the state of a stream of the log: four files in time order, then an early one again."""
+    root = scratch_path(spark, name)
+    stream = _events_in_parts(spark, d, f"{root}/events")
+    tb.table(spark, d, "events").where(F.col("event_id") % 3 == 0).write.mode("append").parquet(f"{root}/events")
+    with jobs.keyed_state(spark):
+        jobs.run_available(keep_newest(tb.scored_from_events(stream)), f"{root}/none", f"{root}/ck", mode="update", fmt="noop")
+    return newest(spark, f"{root}/ck")
+
+
+def q_st4_state_latest(spark, d):
+    """T3 from the state store."""
+    return _newest_state(spark, d, "st4l").select("timestamp", C.LABEL, "event_id")
+
+
+def q_st4_state_drift(spark, d):
+    """PSI of the newest rows in the state store against the reference counts."""
+    latest = _newest_state(spark, d, "st4p")
+    return drift.psi(cat._reference_counts(spark, d), latest).select("target", cat.r6("psi").alias("psi"))
+
+
 def q_st5_stream_pred_counts(spark, d):
     root = scratch_path(spark, "st5")
     log = tb.scored_from_events(_events_stream(spark, d))
@@ -87,6 +111,29 @@ def q_st6_stream_error_rate(spark, d):
     return out.select("job", "instance", "window_start_s", "errors", cat.r6("rate").alias("rate"))
 
 
+def _events_in_parts(spark, d, path: str, parts: int = 4) -> DataFrame:
+    """The events as files that arrive one after another in time order, and a stream of them, one file per batch."""
+    ev = tb.table(spark, d, "events")
+    lo, hi = ev.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
+    part = F.least(F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(lo or 0)) * parts / F.lit((hi or 0) - (lo or 0) + 1)), F.lit(parts - 1))
+    for i in range(parts):
+        ev.where(part == i).write.mode("append").parquet(path)
+    return spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def q_a13_stream_alert(spark, d):
+    """Firing and resolved alerts of the streamed HTTP log; a last quiet row closes all windows."""
+    root = scratch_path(spark, "a13")
+    stream = _events_in_parts(spark, d, f"{root}/events")
+    ev = spark.read.schema(stream.schema).parquet(f"{root}/events")
+    quiet = ev.agg((F.max("ts") + F.expr(f"INTERVAL {DELAY_S + 4 * cat.HOUR} SECONDS")).alias("ts")).where("ts is not null")
+    (quiet.select(*[F.col("ts").cast(f.dataType) if f.name == "ts" else F.lit("quiet" if f.name == "event_type" else None).cast(f.dataType).alias(f.name)
+                    for f in stream.schema.fields]).write.mode("append").parquet(f"{root}/events"))
+    with jobs.keyed_state(spark):
+        jobs.run_available(alert_changes(tb.http_from_events(stream), cat.HOUR, cat.HOUR, DELAY), f"{root}/out", f"{root}/ck")
+    return spark.read.schema(CHANGES).parquet(f"{root}/out")
+
+
 def q_st3_stream_scoring(spark, d):
     """Requests written as JSON lines, streamed, scored with the fitted forest."""
     from kinelab.plans.ml_catalog import fitted_model
@@ -126,8 +173,14 @@ STREAM_QUERIES = {
     "st5_stream_pred_counts": q_st5_stream_pred_counts,
     "st5_stream_latency_histogram": q_st5_stream_latency_histogram,
     "st6_stream_error_rate": q_st6_stream_error_rate,
+    "a13_stream_alert": q_a13_stream_alert,
+    "st4_state_latest": q_st4_state_latest,
+    "st4_state_drift": q_st4_state_drift,
 }
 
+SQL_A13_STREAM = f"""SELECT job, instance, 'resolved' AS state, end_s AS at_s, start_s, end_s, n_windows FROM ({cat.SQL_A13})
+UNION ALL SELECT job, instance, 'firing', start_s + {2 * cat.HOUR}, start_s, start_s + {2 * cat.HOUR}, 2 FROM ({cat.SQL_A13})"""
+
 STREAM_SQL = {
     "st1_stream_window_mean": cat.SQL_WINDOWS.format(w=cat.WIN_A),
     "st1_folder_table": cat.SQL_WINDOWS.format(w=cat.WIN_A),
@@ -137,4 +190,7 @@ STREAM_SQL = {
     "st5_stream_pred_counts": cat.SQL_A9,
     "st5_stream_latency_histogram": cat.SQL_A10,
     "st6_stream_error_rate": cat.SQL_A12,
+    "a13_stream_alert": SQL_A13_STREAM,
+    "st4_state_latest": cat.SQL["t3_latest_n"],
+    "st4_state_drift": cat.SQL_PSI,
 }

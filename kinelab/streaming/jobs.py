@@ -8,7 +8,8 @@ batch replaces its own output instead of duplicating it (exactly-once).
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,6 +75,18 @@ def open_rows(samples: DataFrame, size_s: int, delay_s: int, event_time: str = "
     return samples.where(F.col(event_time) >= F.timestamp_seconds(F.lit(start or 0)))
 
 
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """The state store that arbitrary keyed state needs, for the streams started inside."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def run_foreach(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
                 mode: str = "append", trigger: dict | None = None) -> StreamingQuery:
     trig = trigger or {"availableNow": True}
