@@ -61,7 +61,11 @@ def sensor_lineitem_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def readings_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings: purchase events; tie-break event_id."""
-    ev = table(spark, sf_dir, "events")
+    return readings_from_events(table(spark, sf_dir, "events"))
+
+
+def readings_from_events(ev: DataFrame) -> DataFrame:
+    """Binding of an events frame (batch or stream) to readings."""
     return (ev.where(F.col("event_type") == "purchase")
             .select(F.col("user_id").alias(C.KEY),
                     epoch_s("ts").alias(C.READING_TIME),

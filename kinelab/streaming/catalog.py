@@ -19,6 +19,7 @@ from kinelab.sources import tables as tb
 from kinelab.sources.telemetry import requests_as_json
 from kinelab.streaming import jobs
 from kinelab.streaming.alerts import CHANGES, alert_changes
+from kinelab.streaming.late_asof import label_versions, newest_labels
 from kinelab.streaming.newest import keep_newest, newest
 
 DELAY_S = 3_600
@@ -111,24 +112,43 @@ def q_st6_stream_error_rate(spark, d):
     return out.select("job", "instance", "window_start_s", "errors", cat.r6("rate").alias("rate"))
 
 
-def _events_in_parts(spark, d, path: str, parts: int = 4) -> DataFrame:
-    """The events as files that arrive one after another in time order, and a stream of them, one file per batch."""
+def _events_in_parts(spark, d, path: str, parts: int = 4, backwards: bool = False) -> DataFrame:
+    """The events as files that arrive one after another in time order (or the newest first), and a stream of them, one file per batch."""
     ev = tb.table(spark, d, "events")
     lo, hi = ev.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
     part = F.least(F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(lo or 0)) * parts / F.lit((hi or 0) - (lo or 0) + 1)), F.lit(parts - 1))
-    for i in range(parts):
+    for i in reversed(range(parts)) if backwards else range(parts):
         ev.where(part == i).write.mode("append").parquet(path)
     return spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
+def _quiet_end(spark, stream: DataFrame, path: str, after_s: int) -> None:
+    """A last file with one event of another user, no error and no reading, ``after_s`` after all others: it closes all windows but its own."""
+    fixed = {"event_type": "quiet", "user_id": -1}
+    ev = spark.read.schema(stream.schema).parquet(path)
+    quiet = ev.agg((F.max("ts") + F.expr(f"INTERVAL {after_s} SECONDS")).alias("ts")).where("ts is not null")
+    (quiet.select(*[F.col("ts").cast(f.dataType) if f.name == "ts" else F.lit(fixed.get(f.name)).cast(f.dataType).alias(f.name)
+                    for f in stream.schema.fields]).write.mode("append").parquet(path))
+
+
+def q_st2_late_readings(spark, d):
+    """Windows in time order, readings the newest first: most windows are labelled before their reading comes, and corrected."""
+    root = scratch_path(spark, "st2l")
+    stream = _events_in_parts(spark, d, f"{root}/events")
+    _quiet_end(spark, stream, f"{root}/events", DELAY_S + 2 * cat.DAY)
+    late = _events_in_parts(spark, d, f"{root}/readings", backwards=True)
+    windows = jobs.window_means(tb.sensor_from_events(stream), cat.DAY, DELAY)
+    with jobs.keyed_state(spark):
+        versions = label_versions(windows, tb.readings_from_events(late), keep_s=3_650 * cat.DAY)
+        jobs.run_available(versions, f"{root}/out", f"{root}/ck")
+    return cat._asof_out(newest_labels(spark.read.schema(versions.schema).parquet(f"{root}/out")))
+
+
 def q_a13_stream_alert(spark, d):
-    """Firing and resolved alerts of the streamed HTTP log; a last quiet row closes all windows."""
+    """Firing and resolved alerts of the streamed HTTP log."""
     root = scratch_path(spark, "a13")
     stream = _events_in_parts(spark, d, f"{root}/events")
-    ev = spark.read.schema(stream.schema).parquet(f"{root}/events")
-    quiet = ev.agg((F.max("ts") + F.expr(f"INTERVAL {DELAY_S + 4 * cat.HOUR} SECONDS")).alias("ts")).where("ts is not null")
-    (quiet.select(*[F.col("ts").cast(f.dataType) if f.name == "ts" else F.lit("quiet" if f.name == "event_type" else None).cast(f.dataType).alias(f.name)
-                    for f in stream.schema.fields]).write.mode("append").parquet(f"{root}/events"))
+    _quiet_end(spark, stream, f"{root}/events", DELAY_S + 4 * cat.HOUR)
     with jobs.keyed_state(spark):
         jobs.run_available(alert_changes(tb.http_from_events(stream), cat.HOUR, cat.HOUR, DELAY), f"{root}/out", f"{root}/ck")
     return spark.read.schema(CHANGES).parquet(f"{root}/out")
@@ -174,6 +194,7 @@ STREAM_QUERIES = {
     "st5_stream_latency_histogram": q_st5_stream_latency_histogram,
     "st6_stream_error_rate": q_st6_stream_error_rate,
     "a13_stream_alert": q_a13_stream_alert,
+    "st2_late_readings": q_st2_late_readings,
     "st4_state_latest": q_st4_state_latest,
     "st4_state_drift": q_st4_state_drift,
 }
@@ -191,6 +212,7 @@ STREAM_SQL = {
     "st5_stream_latency_histogram": cat.SQL_A10,
     "st6_stream_error_rate": cat.SQL_A12,
     "a13_stream_alert": SQL_A13_STREAM,
+    "st2_late_readings": cat._asof_sql(cat.WIN_A, cat.READ_A),
     "st4_state_latest": cat.SQL["t3_latest_n"],
     "st4_state_drift": cat.SQL_PSI,
 }

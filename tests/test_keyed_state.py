@@ -75,3 +75,50 @@ def test_the_stream_goes_on_from_its_state(spark, scratch):
             jobs.run_available(keep_newest(stream, 3), f"{root}/none", f"{root}/ck", mode="update", fmt="noop")
         got = sorted(r["event_id"] for r in newest(spark, f"{root}/ck", 3).collect())
         assert got == ([17, 18, 19], [21, 22, 23])[k]
+
+
+WINDOWS = "pid string, window_start_s long, x double, y double, z double"
+READINGS = "pid string, timestamp long, TAC_Reading double, tiebreak long"
+
+
+def versions_of(spark, root, window_parts, reading_parts, keep_s):
+    from kinelab.streaming.late_asof import label_versions
+    w, r = files(spark, f"{root}/w", window_parts, WINDOWS), files(spark, f"{root}/r", reading_parts, READINGS)
+    with jobs.keyed_state(spark):
+        versions = label_versions(w, r, keep_s)
+        jobs.run_available(versions, f"{root}/out", f"{root}/ck")
+    return spark.read.schema(versions.schema).parquet(f"{root}/out")
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_late_readings_correct_their_windows(spark, scratch, seed):
+    from kinelab.operators.asof import asof_join
+    from kinelab.streaming.late_asof import newest_labels
+    rng = random.Random(seed)
+    windows = [(p, 10 * i, rng.choice([1.0, None]), float(i), 0.5) for p in ("a", "b", "c") for i in range(40) if rng.random() < 0.8]
+    readings = [(p, rng.randint(0, 400), rng.choice([0.1, 0.2, 0.3, None]), rng.choice([k, 7, None])) for p in ("a", "b", "d") for k in range(30)]
+    rng.shuffle(windows)
+    rng.shuffle(readings)
+    odd = [(None, 5, 1.0, 1.0, 1.0), ("a", None, 1.0, 1.0, 1.0)]
+    cut = lambda xs: [xs[:len(xs) // 3], xs[len(xs) // 3:len(xs) // 2], xs[len(xs) // 2:]]
+    out = versions_of(spark, scratch("late"), cut(windows + odd), [*cut(readings), [(None, 3, 0.9, 1), ("a", None, 0.9, 1)]], 10**6)
+    got = sorted(map(tuple, newest_labels(out).collect()), key=str)
+    best = {}
+    for p, t, v, tie in readings:  # the rule for equal times, in plain words: largest tie-break, then value
+        rank = (tie is not None, tie or 0, v is not None, v or 0.0)
+        if (p, t) not in best or rank > best[p, t][0]:
+            best[p, t] = (rank, v)
+    reduced = spark.createDataFrame([(p, t, v) for (p, t), (_, v) in best.items()], "pid string, timestamp long, TAC_Reading double")
+    batch = asof_join(spark.createDataFrame(windows, WINDOWS), reduced, "pid", "window_start_s", "timestamp", ["TAC_Reading"], tiebreak=None)
+    assert got == sorted(map(tuple, batch.select("pid", "window_start_s", "x", "y", "z", "TAC_Reading").collect()), key=str)
+    assert out.where("version > 0").count() > 10
+    per_window = out.groupBy("pid", "window_start_s").agg(F.count("*").alias("n"), F.max("version").alias("v")).collect()
+    assert all(r["n"] == r["v"] + 1 for r in per_window)
+
+
+def test_what_is_too_old_is_forgotten(spark, scratch):
+    windows = [[("a", 0, 1.0, 1.0, 1.0)], [("a", 1000, 1.0, 1.0, 1.0)], [("a", 2000, 1.0, 1.0, 1.0)]]
+    readings = [[("a", 900, 0.1, 1)], [("a", 1990, 0.2, 1)], [("b", 1, 0.5, 1)], [("a", 0, 0.9, 1), ("a", 1995, 0.3, 1)]]
+    out = versions_of(spark, scratch("old"), windows, readings, 500)
+    got = sorted((r["window_start_s"], r["version"], r["TAC_Reading"]) for r in out.collect())
+    assert got == [(0, 0, None), (1000, 0, 0.1), (2000, 0, 0.2), (2000, 1, 0.3)]
