@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinelab import config as C
-from kinelab.operators import counters, drift, features, folds, opsmetrics, registry
+from kinelab.operators import counters, drift, features, folds, merged_state, opsmetrics, registry
 from kinelab.operators.asof import asof_join
 from kinelab.operators.model import binary_metrics
 from kinelab.operators.sampling import sample_rows
@@ -142,6 +142,27 @@ def q_a3_class_counts(spark, d):
     return drift.class_counts(feats).select("target", "category", F.col("cnt").cast("bigint"))
 
 
+def _merged_state(spark, d) -> DataFrame:
+    """Batch states of the labelled features, one batch written with half of its rows first and then replaced."""
+    path = scratch_path(spark, "batch_states")
+    feats = features.training_features(_labelled_events(spark, d, materialize=True))
+    stage = scratch_path(spark, "batch_features")
+    feats.withColumn("batch", F.pmod(F.xxhash64(C.KEY), F.lit(7))).write.partitionBy("batch").parquet(stage)
+    feats = spark.read.parquet(stage)
+    merged_state.write_batch_state(feats.where((F.col("batch") == 3) & (F.col("time") % 2 == 0)), path, 3)
+    for b in range(7):
+        merged_state.write_batch_state(feats.where(F.col("batch") == b), path, b)
+    return merged_state.merged(merged_state.read_batch_states(spark, path))
+
+
+def q_a2_merged_stats(spark, d):
+    return _stats_out(merged_state.fitted(_merged_state(spark, d)))
+
+
+def q_a3_merged_counts(spark, d):
+    return merged_state.counts(_merged_state(spark, d)).select("target", "category", F.col("cnt").cast("bigint"))
+
+
 def q_s6_s7_class_distribution(spark, d):
     feats = features.training_features(_labelled_events(spark, d))
     path = scratch_path(spark, "classdist")
@@ -790,6 +811,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "m1_training_features": q_m1_training_features,
     "m9_pipeline_stages": q_m9_pipeline_stages,
     "a2_fitted_stats": q_a2_fitted_stats,
+    "a2_merged_stats": q_a2_merged_stats,
+    "a3_merged_counts": q_a3_merged_counts,
     "s10_state_roundtrip": q_s10_state_roundtrip,
     "a3_class_counts": q_a3_class_counts,
     "s6_s7_class_distribution": q_s6_s7_class_distribution,
@@ -855,6 +878,8 @@ SQL: dict[str, str] = {
     "m1_training_features": _features_sql("pid"),
     "m9_pipeline_stages": _features_sql("CAST(pid AS VARCHAR)"),
     "a2_fitted_stats": SQL_STATS,
+    "a2_merged_stats": SQL_STATS,
+    "a3_merged_counts": SQL_CLASS_COUNTS,
     "s10_state_roundtrip": SQL_STATS,
     "a3_class_counts": SQL_CLASS_COUNTS,
     "s6_s7_class_distribution": SQL_CLASS_COUNTS,
