@@ -18,13 +18,13 @@ from kinelab.operators.asof import asof_join
 from kinelab.operators.model import binary_metrics
 from kinelab.operators.sampling import sample_rows
 from kinelab.operators.windows import tumbling_mean
-from kinelab.plans.labelling import labelled_windows, write_labelled
+from kinelab.plans.labelling import labelled_windows, read_labelled, write_labelled
 from kinelab.session import scratch_path
 from kinelab.sources import csv as csvsrc
 from kinelab.sources import tables as tb
 from kinelab.sources import telemetry as tel
 from kinelab.sources.column_json import parse_column_documents, write_column_document
-from kinelab.sources.parquet_io import read_partitioned, read_stage
+from kinelab.sources.parquet_io import read_partitioned, read_stage, write_partitioned
 from kinelab import schemas
 
 DAY = 86_400
@@ -85,15 +85,35 @@ def _labelled_out(df):
 
 
 def q_e1_labelled_roundtrip(spark, d):
-    """E1 end to end: A1 -> J1 -> P6 -> S3 (partitioned write) -> S4 (read)."""
+    """E1 end to end: A1 -> J1 -> P6 -> S3 (clustered write) -> S4 (read)."""
     path = scratch_path(spark, "labelled")
     # The window table is written first: the range partitioner of the
     # partitioned write samples its input, and that pass then re-reads a
     # small table instead of re-aggregating the raw samples.
     write_labelled(_labelled_events(spark, d, materialize=True), path)
+    return _labelled_out(read_labelled(spark, path))
+
+
+def q_s3_key_folders(spark, d):
+    """S3 and S4 in the layout of one folder per key."""
+    path = scratch_path(spark, "labelled_folders")
+    write_partitioned(_labelled_events(spark, d, materialize=True), path)
     return _labelled_out(read_partitioned(spark, path, schemas.LABELLED))
 
 
+def q_s4_rewritten_day(spark, d):
+    """One day of the labelled table written again with x + 1: the other days stay."""
+    path = scratch_path(spark, "labelled_days")
+    write_labelled(_labelled_events(spark, d, materialize=True), path)
+    first = read_labelled(spark, path).agg(F.min("time")).first()[0]
+    if first is not None:
+        day = read_labelled(spark, path).where((F.col("time") >= first // DAY * DAY) & (F.col("time") < (first // DAY + 1) * DAY))
+        again = scratch_path(spark, "labelled_day")
+        day.withColumn("x", F.col("x") + 1).withColumn(C.KEY, F.col(C.KEY).cast("long")).write.parquet(again)
+        write_labelled(spark.read.parquet(again), path)
+    return _labelled_out(read_labelled(spark, path))
+
+
 def q_r1_sample_full(spark, d):
     return _labelled_out(sample_rows(_labelled_events(spark, d), C.SAMPLE_RATE, C.SEED))
 
@@ -580,6 +600,10 @@ FROM ({WIN_A}) w ASOF LEFT JOIN ({READ_A}) r ON w.pid = r.pid AND w.window_start
 SQL_LABELLED = f"""SELECT time, round(x, 6) AS x, round(y, 6) AS y, round(z, 6) AS z,
   round(TAC_Reading, 6) AS TAC_Reading, CAST(pid AS VARCHAR) AS pid FROM ({LABELLED_A})"""
 
+SQL_S4_REWRITTEN = f"""WITH l AS ({LABELLED_A})
+SELECT time, round(x + CASE WHEN floor(time / {DAY}) = (SELECT floor(min(time) / {DAY}) FROM l) THEN 1 ELSE 0 END, 6) AS x, round(y, 6) AS y,
+  round(z, 6) AS z, round(TAC_Reading, 6) AS TAC_Reading, CAST(pid AS VARCHAR) AS pid FROM l"""
+
 SQL_LABELLED_NATIVE = f"""SELECT time, round(x, 6) AS x, round(y, 6) AS y, round(z, 6) AS z,
   round(TAC_Reading, 6) AS TAC_Reading, pid FROM ({LABELLED_A})"""
 
@@ -807,6 +831,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "j1_asof_orders_union": _j1_orders("union"),
     "j1_asof_orders_bucketed": _j1_orders("bucketed"),
     "e1_labelled_roundtrip": q_e1_labelled_roundtrip,
+    "s3_key_folders": q_s3_key_folders,
+    "s4_rewritten_day": q_s4_rewritten_day,
     "r1_sample_full": q_r1_sample_full,
     "m1_training_features": q_m1_training_features,
     "m9_pipeline_stages": q_m9_pipeline_stages,
@@ -874,6 +900,8 @@ SQL: dict[str, str] = {
     "j1_asof_orders_union": _asof_sql(WIN_BC, READ_O),
     "j1_asof_orders_bucketed": _asof_sql(WIN_BC, READ_O),
     "e1_labelled_roundtrip": SQL_LABELLED,
+    "s3_key_folders": SQL_LABELLED,
+    "s4_rewritten_day": SQL_S4_REWRITTEN,
     "r1_sample_full": SQL_LABELLED_NATIVE,
     "m1_training_features": _features_sql("pid"),
     "m9_pipeline_stages": _features_sql("CAST(pid AS VARCHAR)"),

@@ -17,7 +17,8 @@ from kinelab.operators.asof import asof_join, auto_bucket, choose_plan, reading_
 from kinelab.operators.features import fit
 from kinelab.operators.sampling import sample_rows
 from kinelab.operators.windows import tumbling_mean
-from kinelab.sources.parquet_io import read_partitioned, read_stage, write_partitioned, write_stage
+from kinelab.sources.clustered import read_clustered, write_clustered
+from kinelab.sources.parquet_io import read_stage, write_stage
 from kinelab.session import scratch_path
 from kinelab.sources.telemetry import save_state
 
@@ -83,7 +84,7 @@ def run_pipeline(spark: SparkSession, paths: StagePaths, stages=("preprocess", "
     from kinelab.sources import telemetry as tel
     out = {}
     if "preprocess" in stages:
-        data = sample_rows(read_partitioned(spark, paths.labelled, schemas.LABELLED), sample_rate, seed)
+        data = sample_rows(read_labelled(spark, paths.labelled), sample_rate, seed)
         write_stage(data, paths.preprocessed)
     if "features" in stages:
         feats, state = fit(read_stage(spark, paths.preprocessed))
@@ -151,5 +152,10 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_labelled(df: DataFrame, path: str) -> None:
-    """S3 for the labelled table."""
-    write_partitioned(df, path, key=C.KEY, order="time")
+    """S3 for the labelled table: clustered by key inside days, so the files follow the bytes and not the keys."""
+    write_clustered(df, path, key=C.KEY, time="time")
+
+
+def read_labelled(spark: SparkSession, path: str, keys=None) -> DataFrame:
+    """S4 for the labelled table, or some of its keys."""
+    return read_clustered(spark, path, schemas.LABELLED, keys=keys)
