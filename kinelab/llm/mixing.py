@@ -26,14 +26,10 @@ gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinelab.llm.common import small_batches, staged
+from kinelab.llm.common import staged
 
 #: Fixed values of the mixture: weights by source rank, share of all words, most repeats.
 WEIGHTS = (3, 1, 2)
@@ -106,6 +102,11 @@ def quotas(targets: DataFrame, awarded: DataFrame, block: int, shards: int) -> D
     return whole.unionByName(settled)
 
 
+def _seeded():
+    """The seeded order of a source's blocks."""
+    return Window.partitionBy("rank").orderBy(F.md5(F.concat_ws("|", F.lit(SEED), F.col("rank").cast("string"), F.col("block").cast("string"))), "block")
+
+
 def chosen_blocks(targets: DataFrame, awarded: DataFrame, block: int) -> DataFrame:
     """rank, block, times, part, base: how often each block is taken, its first words that are taken once more, and the words taken before it."""
     n = F.ceil(F.col("source_size") / F.lit(block)).cast("long")
@@ -115,7 +116,7 @@ def chosen_blocks(targets: DataFrame, awarded: DataFrame, block: int) -> DataFra
              .select("rank", "source_size", "n", F.coalesce("quota", F.lit(0)).alias("quota"),
                      _settled(block).alias("settled"), _need().alias("need"),
                      F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("block")))
-    seeded = Window.partitionBy("rank").orderBy(F.md5(F.concat_ws("|", F.lit(SEED), F.col("rank").cast("string"), F.col("block").cast("string"))), "block")
+    seeded = _seeded()
     line = Window.partitionBy("rank").orderBy("block")
     length = F.least(F.lit(block), F.col("source_size") - F.col("block") * block)
     times = F.floor(F.col("quota") / F.col("n")) + F.when(F.col("place") <= F.pmod("quota", "n"), 1).otherwise(0)
@@ -127,11 +128,11 @@ def chosen_blocks(targets: DataFrame, awarded: DataFrame, block: int) -> DataFra
             .withColumn("part", F.when(F.col("settled"), part).otherwise(0).cast("long"))
             .withColumn("words", (F.col("times") * F.col("length") + F.col("part")).cast("long"))
             .withColumn("base", F.sum("words").over(line) - F.col("words"))
-            .select("rank", "block", "times", "part", "base"))
+            .select("rank", "block", "times", "part", "words", "base"))
 
 
-def mixture(docs: DataFrame, shards: int = 8) -> tuple[DataFrame, DataFrame]:
-    """(documents with what the mix takes of each, quotas of each shard)."""
+def _line(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, int]:
+    """(documents on their source's line, blocks as taken, targets, awards, words of a block)."""
     rows = staged(docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")), "mix-rows")
     sizes = staged(rows.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sources")
     total = sizes.agg(F.sum("source_size")).first()[0] or 0
@@ -151,6 +152,12 @@ def mixture(docs: DataFrame, shards: int = 8) -> tuple[DataFrame, DataFrame]:
                .withColumn("end", F.col("before") + F.col("_end"))
                .withColumn("start", F.col("end") - F.col("size"))
                .withColumn("b0", F.floor(F.col("start") / block)).withColumn("b1", F.floor((F.col("end") - 1) / block)))
+    return on_line, blocks, targets, awarded, block
+
+
+def mixture(docs: DataFrame, shards: int = 8) -> tuple[DataFrame, DataFrame]:
+    """(documents with what the mix takes of each, quotas of each shard)."""
+    on_line, blocks, targets, awarded, block = _line(docs)
     first = blocks.select("rank", F.col("block").alias("b0"), F.col("times").alias("t0"), F.col("part").alias("p0"), F.col("base").alias("s0"))
     last = blocks.select("rank", F.col("block").alias("b1"), F.col("times").alias("t1"), F.col("part").alias("p1"), F.col("base").alias("s1"))
     x0, x1 = F.col("start") - F.col("b0") * block, F.col("end") - F.col("b1") * block
@@ -162,39 +169,40 @@ def mixture(docs: DataFrame, shards: int = 8) -> tuple[DataFrame, DataFrame]:
     return out, quotas(targets, awarded, block, shards)
 
 
-def _write_out(names: list[str]):
-    """Whole copies, then the part that holds the remaining words."""
-    word = re.compile(r"[^\x20\x09-\x0D]+")
+def whole_copies(docs: DataFrame) -> DataFrame:
+    """doc_id, size, copies: how often the mix takes each document of any words as a whole.
 
-    def part(text: str, words: int) -> str:
-        for n, m in enumerate(word.finditer(text), 1):
-            if n == words:
-                return text[:m.end()]
-        return text
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, texts = [], []
-            for r, (text, size, taken) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("text", "_size", "_taken")))):
-                copies, rest = divmod(taken, size)
-                rows += [r] * (copies + (rest > 0))
-                texts += [text] * copies + [part(text, rest)] * (rest > 0)
-            out = batch.select(names).take(pa.array(rows, pa.int64()))
-            yield out.set_column(names.index("text"), "text", pa.array(texts, pa.string()))
-    return run
+    A document belongs to the block that holds its start. A source's words in
+    the mix are whole rounds of its documents and a rest; the rest is filled
+    with the documents of its blocks, in the blocks' seeded order, up to the
+    block whose documents would exceed it by more than half of their words.
+    """
+    on_line, blocks, targets, _, _ = _line(docs)
+    here = on_line.where("size > 0").select("rank", F.col("b0").alias("block"), "doc_id", "size")
+    owned = here.groupBy("rank", "block").agg(F.sum("size").alias("owned"))
+    seeded, source = _seeded(), Window.partitionBy("rank")
+    per_block = (blocks.select("rank", "block", "words").join(owned, ["rank", "block"], "left")
+                 .withColumn("owned", F.coalesce("owned", F.lit(0)))
+                 .withColumn("all", F.sum("words").over(source)).withColumn("size_", F.sum("owned").over(source))
+                 .withColumn("rounds", F.floor(F.col("all") / F.col("size_")))
+                 .withColumn("rest", F.col("all") - F.col("rounds") * F.col("size_"))
+                 .withColumn("middle", F.sum("owned").over(seeded) - F.col("owned") / 2)
+                 .select("rank", "block", (F.col("rounds") + (F.col("middle") <= F.col("rest")).cast("int")).alias("copies")))
+    return here.join(per_block, ["rank", "block"]).select("doc_id", "size", "copies")
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The documents as often, and as far, as the mix takes them, with their columns.
+    """Whole documents as often as the mix takes them, with their columns.
 
-    A document taken for 2.3 times its size occurs as two whole copies and one
-    with the first 0.3 of its words; one taken for nothing is left out.
+    No text is cut (:func:`whole_copies`): a document occurs never (then it is
+    left out), once or twice, and a source's words come as near its target as
+    whole documents allow. Rows that share id and size share their copies evenly.
     """
-    small_batches(docs.sparkSession)
-    plan = (mixture(docs)[0].where("taken > 0").groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_size"))
-            .agg(F.sum("taken").alias("_all"), F.count(F.lit(1)).alias("_n")))
+    plan = (whole_copies(docs).groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_size"))
+            .agg(F.sum("copies").alias("_all"), F.count(F.lit(1)).alias("_n")).where("_all > 0"))
     sized = docs.withColumn("_words", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)))
+    more = F.pmod(F.xxhash64("text"), F.col("_n")) < F.pmod("_all", "_n")
     return (sized.join(plan, (F.col("doc_id").eqNullSafe(F.col("_id"))) & (F.col("_words") == F.col("_size")))
-            .withColumn("_taken", F.floor(F.col("_all") / F.col("_n"))).where("_taken > 0")
-            .select(*docs.columns, "_size", "_taken").mapInArrow(_write_out(docs.columns), docs.schema)
-            .withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)))
+            .withColumn("_copies", F.floor(F.col("_all") / F.col("_n")) + more.cast("int")).where("_copies > 0")
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+            .select(*docs.columns))

@@ -9,7 +9,7 @@ full sets.
 
 Steps, none of which lists all pairs of a group:
 
-1. equal sets collapse to one class, named by its smallest doc_id;
+1. equal sets collapse to one numbered class, for which its first row stands;
 2. in each band bucket every class is paired with the bucket's smallest one;
    of these pairs each class keeps the one whose sketches are nearest, and that
    one is confirmed exactly: this alone joins a group of copies into (nearly)
@@ -26,10 +26,11 @@ takes effect. With ``BANDS`` bands of ``ROWS`` samples a pair at the threshold
 bound (five standard deviations) with about 3e-7.
 
 Defined cases: null or empty text, or text without words, has no shingles,
-links with nothing and stays; fewer words than k make one shingle; repeated
-rows and rows with one doc_id belong together; a null doc_id takes its class's
-smallest id, or null; an empty table gives an empty result; other columns are
-ignored.
+links with nothing and stays; fewer words than k make one shingle; texts decide
+and not ids, so different texts under one doc_id are not linked by it, repeated
+rows belong together, and rows without a doc_id link like any other;
+component_id is the smallest doc_id of the component that is not null, if any;
+an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -123,8 +124,9 @@ def _signatures(k: int):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), pa.array(n, pa.int64()), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)),
                      _lists(_bands(samples) if len(samples) else np.zeros((0, BANDS), np.int64), has),
-                     _lists(odd_sketch(samples) if len(samples) else np.zeros((0, BITS // 64), np.int64), has)],
-                    ["doc_id", "n_shingles", "h1", "h2", "bands", "sketch"])
+                     _lists(odd_sketch(samples) if len(samples) else np.zeros((0, BITS // 64), np.int64), has),
+                     batch.column(2).slice(i, j - i)],
+                    ["doc_id", "n_shingles", "h1", "h2", "bands", "sketch", "text_key"])
     return run
 
 
@@ -227,21 +229,37 @@ def _bridges(k: int, num: int, den: int, limit: int):
 
 
 def signatures(docs: DataFrame, k: int = 2) -> DataFrame:
-    """doc_id, n_shingles, set hashes, band keys and odd sketch of every document."""
+    """doc_id, text_key, n_shingles, set hashes, band keys and odd sketch of every document."""
     small_batches(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
-        _signatures(k), f"doc_id {id_type}, n_shingles long, h1 long, h2 long, bands array<long>, sketch array<long>")
+    return docs.select("doc_id", "text", F.md5("text").alias("text_key")).mapInArrow(
+        _signatures(k), f"doc_id {id_type}, n_shingles long, h1 long, h2 long, bands array<long>, sketch array<long>, text_key string")
 
 
-def near_duplicates(docs: DataFrame, k: int = 2, num: int = 80, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every document."""
+SAME = ["h1", "h2", "n_shingles"]
+
+
+def _classes(sig: DataFrame) -> DataFrame:
+    """Equal sets: their hashes, a number of the class, and its first row (smallest doc_id, then text; copies of it)."""
+    rows = sig.where("n_shingles > 0").groupBy(*SAME, "doc_id", "text_key").agg(F.count(F.lit(1)).alias("copies"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "copies")).alias("first")
+    return staged(rows.groupBy(*SAME).agg(first).withColumn("id", F.monotonically_increasing_id()), "near-classes")
+
+
+def _of_class(rows: DataFrame, classes: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` of one row of each class that ``classes`` lists: its first one."""
+    same = F.col("r.doc_id").eqNullSafe(F.col("c.first.doc_id")) & F.col("r.text_key").eqNullSafe(F.col("c.first.text_key"))
+    found = rows.alias("r").join(classes.alias("c"), same).select("c.id", "c.first.copies", *[f"r.{x}" for x in columns])
+    once = found.where("copies = 1").drop("copies")
+    return once.unionByName(found.where("copies > 1").drop("copies").dropDuplicates(["id"]))
+
+
+def _components(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """(signatures, component of each class: set hashes and the component's first row)."""
     limit = most_different(num / den)
     sig = staged(signatures(docs, k), "near-signatures")
-    same = ["h1", "h2", "n_shingles"]
-    classes = sig.where("n_shingles > 0").groupBy(*same).agg(F.min("doc_id").alias("rep"))
-    reps = staged(sig.join(classes, same).where("doc_id = rep").dropDuplicates(["doc_id", *same])
-                  .select(F.col("doc_id").alias("id"), "n_shingles", "bands", "sketch"), "near-classes")
+    classes = _classes(sig)
+    reps = staged(_of_class(sig, classes, "n_shingles", "bands", "sketch"), "near-reps")
 
     keys = reps.select("id", F.explode("bands").alias("key"))
     buckets = keys.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("leader")).where("m > 1")
@@ -255,8 +273,8 @@ def near_duplicates(docs: DataFrame, k: int = 2, num: int = 80, den: int = 100)
                .select("a", "b", apart.alias("d")).where(F.col("d") <= limit)
                .groupBy("b").agg(F.min(F.struct("d", "a")).alias("best")).select("best.a", "b"))
 
-    candidates = members.select("id").distinct()
-    texts = staged(docs.select(F.col("doc_id").alias("id"), "text").join(candidates, "id", "left_semi"), "near-texts")
+    candidates = classes.join(members.select("id").distinct(), "id", "left_semi")
+    texts = staged(_of_class(docs.select("doc_id", "text", F.md5("text").alias("text_key")), candidates, "text"), "near-texts")
     first = _confirmed(staged(nearest, "near-nearest"), texts, k, num, den, "near-first")
     joined = staged(connected_components(first), "near-joined")
 
@@ -266,16 +284,42 @@ def near_duplicates(docs: DataFrame, k: int = 2, num: int = 80, den: int = 100)
     blocks = open_rows.groupBy("key").agg(F.greatest(F.count(F.lit(1)) / BLOCK_ROWS, F.sum("n_shingles") / BLOCK_SHINGLES).alias("blocks"))
     cells = (triangle(open_rows.join(blocks, "key"), F.col("blocks"), F.xxhash64("id"), 1).join(texts, "id")
              .repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj"))
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    second = staged(cells.mapInArrow(_bridges(k, num, den, limit), f"a {id_type}, b {id_type}"), "near-second")
+    second = staged(cells.mapInArrow(_bridges(k, num, den, limit), "a long, b long"), "near-second")
 
     old = lambda side: joined.select(F.col("id").alias(side), F.col("component").alias(f"c{side}"))
     bridges = (second.join(old("a"), "a", "left").join(old("b"), "b", "left")
                .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
     merged = connected_components(bridges).select(F.col("id").alias("c"), F.col("component").alias("top"))
 
-    narrow = sig.select("doc_id", *same).join(classes, same, "left")
-    found = (narrow.join(joined.withColumnRenamed("id", "rep"), "rep", "left")
-             .withColumn("c", F.coalesce("component", "rep")).join(merged, "c", "left")
-             .withColumn("component_id", F.coalesce("top", "c", "doc_id")))
-    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    found = (classes.join(joined, "id", "left").withColumn("c", F.coalesce("component", "id")).join(merged, "c", "left")
+             .select(*SAME, "first", F.coalesce("top", "c").alias("c")))
+    chosen = found.groupBy("c").agg(F.min("first").alias("chosen"))
+    return sig, staged(found.join(chosen, "c").select(*SAME, "chosen"), "near-found")
+
+
+def near_duplicates(docs: DataFrame, k: int = 2, num: int = 80, den: int = 100) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every document."""
+    sig, found = _components(docs, k, num, den)
+    component = F.when(F.col("n_shingles") > 0, F.col("chosen.doc_id")).otherwise(F.col("doc_id")).alias("component_id")
+    return (sig.select("doc_id", *SAME).join(found, SAME, "left").select("doc_id", "n_shingles", component)
+            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def one_of_each(docs: DataFrame, k: int = 2, num: int = 80, den: int = 100) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component the row of its smallest doc_id (then text).
+
+    Texts decide, not ids: rows without a doc_id, and different texts under one
+    doc_id, stay if their components are different ones. Documents without
+    shingles stay. Of rows equal in doc_id and text one stays.
+    """
+    sig, found = _components(docs, k, num, den)
+    chosen = found.select("chosen.doc_id", "chosen.text_key").distinct()
+    empty = sig.where("n_shingles = 0").select("doc_id", "text_key").distinct()
+    stay = staged(chosen.unionByName(empty).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")), "near-stay")
+    copies = (sig.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+              .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.md5("text").eqNullSafe(F.col("_key"))
+    rows = docs.join(stay, same, "left_semi")
+    repeated = staged(copies, "near-copies")
+    once = rows.join(repeated, same, "left_anti")
+    return once.unionByName(rows.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))

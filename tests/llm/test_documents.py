@@ -173,15 +173,29 @@ def test_mixture_settles_sources_of_few_blocks(spark, monkeypatch):
         assert dealt[rank] == taken[s] or sizes[s] >= 16 * block
 
 
-def test_mixed_documents_hold_the_taken_words(spark):
-    rows = [(i, " ".join(f"w{i}x{j}" for j in range(1 + i % 17)), f"s{i % 4}") for i in range(200)] + [(900, None, "s1")]
+def test_mixed_documents_are_whole(spark):
+    """Every text of the mix is a whole document; sources come as near their targets as a document."""
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(1 + i * 7 % 90)), f"s{i % 4}") for i in range(900)] + [(9000, None, "s1"), (9001, " ", "s2")]
     docs = frame(spark, rows).select("doc_id", "text", "lang", "source", "n_chars")
-    taken = {r["doc_id"]: r["taken"] for r in mixture(docs)[0].collect() if r["taken"]}
-    got = Counter()
+    taken = {r["doc_id"]: r for r in mixture(docs)[0].collect()}
+    texts, got, words = {i: t for i, t, _ in rows}, Counter(), Counter()
     for r in mixed_documents(docs).collect():
-        got[r["doc_id"]] += len(r["text"].split())
-        assert r["n_chars"] == len(r["text"])
-    assert got == taken
+        assert r["text"] == texts[r["doc_id"]] and r["n_chars"] == len(r["text"])
+        got[r["doc_id"]] += 1
+        words[r["source"]] += len(r["text"].split())
+    assert set(got.values()) <= {1, 2} and 9000 not in got and 9001 not in got
+    assert all(got[i] == 2 for i, r in taken.items() if r["taken"] == 2 * r["size"] > 0)
+    for s in ("s0", "s1", "s2", "s3"):
+        target = next(taken[i]["target"] for i, _, x in rows if x == s)
+        assert abs(words[s] - target) <= 90, (s, words[s], target)  # a document
+
+
+def test_mixed_documents_with_repeated_ids(spark):
+    rows = [(1, f"w{i} x y", "s") for i in range(50)] + [(None, f"n{i} x y z", "s") for i in range(50)] + [(2, "same", "t")] * 4
+    docs = frame(spark, rows).select("doc_id", "text", "lang", "source", "n_chars")
+    got = Counter(r["text"] for r in mixed_documents(docs).collect())
+    copies = sum(r["taken"] for r in mixture(docs)[0].collect() if r["size"] == 3)
+    assert set(got) <= {t for _, t, _ in rows} and abs(sum(n for t, n in got.items() if t.startswith("w")) * 3 - copies) <= 0.3 * copies
 
 
 # --- 8 -------------------------------------------------------------------------

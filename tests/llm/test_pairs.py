@@ -95,6 +95,13 @@ def test_near_duplicates_edges(spark):
     docs = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (None, "a b c"), (None, None), (7, "a b c")], "doc_id long, text string")
     rows = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_shingles"], r["component_id"]) for r in near_duplicates(docs).collect())
     assert rows == [(False, 1, 2, 1), (False, 1, 2, 1), (False, 7, 2, 1), (True, 0, 0, None), (True, 0, 2, 1)]
+    # rows without an id link; of two texts under one id only the near one belongs to the group
+    long = [f"w{i}" for i in range(60)]
+    docs = spark.createDataFrame([(None, " ".join(long)), (None, " ".join([*long, "more"])), (8, "x y z"), (8, " ".join(["q", *long])), (9, "x y z")], "doc_id long, text string")
+    rows = sorted(((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in near_duplicates(docs).collect()), key=str)
+    assert rows == sorted([(None, 59, 8, False), (None, 60, 8, False), (8, 2, 8, True), (8, 60, 8, True), (9, 2, 8, False)], key=str)
+    alone = near_duplicates(docs.where("doc_id is null"))
+    assert [(r["component_id"], r["kept"]) for r in alone.collect()] == [(None, True)] * 2
     empty = near_duplicates(docs.limit(0))
     assert empty.count() == 0 and empty.columns == ["doc_id", "n_shingles", "component_id", "kept"]
 
