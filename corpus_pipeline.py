@@ -10,11 +10,10 @@ and ``tests/llm`` holds the stages against brute force.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from kinelab.llm.common import documents, staged
 from kinelab.llm.mixing import mixed_documents
-from kinelab.llm.neardup import near_duplicates
+from kinelab.llm.neardup import one_of_each
 from kinelab.llm.packing import pack
 from kinelab.llm.quality import accepted
 from kinelab.llm.queries import vocabulary
@@ -26,15 +25,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates; without an id, one of each text."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    alone = F.when(F.col("doc_id").isNull(), F.sha2("text", 256))
-    return (docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-            .withColumn("_alone", alone).dropDuplicates(["doc_id", "_alone"]).drop("_alone"))
+    """One document of each group of near-duplicates; texts decide, not ids."""
+    return one_of_each(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often and as far as the mix takes them."""
+    """Whole documents as often as the mix takes them."""
     return mixed_documents(docs)
 
 
