@@ -53,7 +53,14 @@ HINTS = frozenset("ad ads adv advert advertisement advertising adsense sponsor s
                   "notification alert popup modal overlay newsletter subscribe subscription signup login sidebar menu nav navbar navigation breadcrumb "
                   "breadcrumbs footer header masthead comment comments commentlist disqus replies reply respond share sharing social related recommended "
                   "recommendations widget pagination pager skip toolbar contentinfo complementary search".split())
+#: Reader comments: one of these words, beside words for their container alone.
+COMMENTS = frozenset("comment comments commentlist disqus replies".split())
+CONTAINERS = frozenset("area block body box container feed holder list panel post reader section thread user wrap wrapper".split())
 MAIN = frozenset(("article", "main"))
+#: Elements nested deeper lie side by side at this depth: a page's depth bounds no recursion.
+DEPTH = 150
+#: Sequences whose alignment needs a larger table become one repeated group of their labels.
+ALIGN_CELLS = 1 << 20
 #: Elements that a hint says nothing about.
 UNMARKED = frozenset("html body h1 h2 h3 h4 h5 h6".split())
 #: What a start tag ends when it is still open: paragraphs end at blocks, items at their like.
@@ -80,12 +87,16 @@ def _describe(tag: str, attrs: str, parent: Element) -> Element:
             names += [[w.lower() for w in _WORD.findall(name)] for name in (a or b or c).split()]
     words = {w for name in names for w in name}
     free = tag in UNMARKED or HINTS.isdisjoint(words)
-    marked = not free and any(name and HINTS.issuperset(name) for name in names)
+    marked = not free and any(name and (HINTS.issuperset(name) or _of_comments(name)) for name in names)
     holds = tag in MAIN or ("main" in words and tag in ("div", "section") and any("main" in name and HINTS.isdisjoint(name) for name in names))
     out = tag in LEFT_OUT or marked or (parent.out and not (tag in MAIN))
     return Element(tag, ".".join([tag, *sorted(words), *["!"] * marked]), out, (parent.main or bool(holds)) and not out, not free)
 
 
+def _of_comments(name: list[str]) -> bool:
+    return not COMMENTS.isdisjoint(name) and all(w in COMMENTS or w in CONTAINERS for w in name)
+
+
 def parse(page: str) -> Element:
     """The page as nested block elements; an item is an Element or a block of text."""
     root = Element("", "", False, False)
@@ -94,8 +105,12 @@ def parse(page: str) -> Element:
     def flush() -> None:
         if text:
             block = " ".join(entities.unescape("".join(text)).split())
-            if block:
+            if block and len(stack) <= DEPTH:
                 stack[-1].items.append(block)
+            elif block:  # a block of its own at the last level, in page order
+                e = stack[-1]
+                stack[DEPTH - 1].items.append(Element(e.tag, e.label, e.out, e.main, e.hinted))
+                stack[DEPTH - 1].items[-1].items.append(block)
             text.clear()
 
     def close(names, scope=_SCOPE) -> None:
@@ -151,7 +166,8 @@ def parse(page: str) -> Element:
                 close(_ENDS[tag], _SCOPE - set(_ENDS[tag]))
             if tag not in VOID:
                 e = _describe(tag, m[3], stack[-1])
-                stack[-1].items.append(e)
+                if len(stack) < DEPTH:
+                    stack[-1].items.append(e)
                 stack.append(e)
         elif tag not in VOID and tag in LEFT_OUT and not m[3].endswith("/>"):
             inline_out.append(tag)
@@ -204,12 +220,14 @@ def merge(a: Node, b: Node) -> None:
 
 
 def align(xs: list[Node], ys: list[Node]) -> list[Node]:
-    """Longest common subsequence of labels; the rest is optional, then folded again."""
+    """Longest common subsequence of labels; the rest is optional, then folded again. Very long unlike sequences become one group."""
     if [x.label for x in xs] == [y.label for y in ys]:
         for x, y in zip(xs, ys):
             merge(x, y)
         return xs
     n, m = len(xs), len(ys)
+    if n * m > ALIGN_CELLS:
+        return _group([*xs, *ys])
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
         for j in range(m - 1, -1, -1):
@@ -231,6 +249,19 @@ def align(xs: list[Node], ys: list[Node]) -> list[Node]:
     return fold(out)
 
 
+def _group(items: list[Node]) -> list[Node]:
+    """One repeated sequence of optional items, one of each label: covers any order of them."""
+    first: dict[str, Node] = {}
+    for x in items:
+        if x.label in first:
+            merge(first[x.label], x)
+        else:
+            first[x.label] = x
+    for x in first.values():
+        x.optional = x.repeated = True
+    return list(first.values())
+
+
 def shape(e: Element) -> tuple:
     """What two pages must share to be read alike by a wrapper: the folded labels."""
     out: list = []

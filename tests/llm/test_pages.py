@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import random
 import re
 import uuid
 
@@ -171,3 +172,34 @@ def test_extract_edges(spark):
     got = sorted((r["page_id"] or 0, r["text"], r["n_chars"]) for r in extract(frame(spark, rows)).collect())
     assert got == [(0, "a", 1), (1, "", 0), (2, "", 0), (2, "", 0), (3, "b", 1)]
     assert extract(frame(spark, rows).limit(0)).count() == 0
+
+
+def page_text(spark, pages):
+    rows = [(i, f"http://h{h}.example/{i}", text) for i, (h, text) in enumerate(pages)]
+    return {r["page_id"]: r["text"] for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_deeply_nested_pages_keep_text_and_order(spark):
+    deep = "<article>" + "".join(f"<div class=l{i % 3}>t{i}" for i in range(5000)) + "".join(f"</div>u{i}" for i in range(4999, -1, -1)) + "</article>"
+    spans = "<body><article>" + "<section><p>x</p>" * 3000 + "end</article><nav>" + "<div>" * 2000 + "menu</nav></body>"
+    got = page_text(spark, [(1, deep), (1, "<article><p>plain</p></article>"), (2, spans)])
+    assert got[0].split("\n\n") == [f"t{i}" for i in range(5000)] + [f"u{i}" for i in range(4999, -1, -1)]
+    assert got[1] == "plain"
+    assert got[2] == "\n\n".join(["x"] * 3000 + ["end"])
+
+
+def test_many_irregular_siblings(spark):
+    rng = random.Random(4)
+    pages = []
+    for _ in range(3):
+        tags = [rng.choice(["p", "h2", "blockquote", "pre", "div class=a", "div class=b"]) for _ in range(50_000)]
+        pages.append([(f"<{t}>w{i}</{t.split()[0]}>", f"w{i}") for i, t in enumerate(tags)])
+    got = page_text(spark, [(1, "<main>" + "".join(a for a, _ in p) + "</main>") for p in pages])
+    for i, p in enumerate(pages):
+        assert got[i] == "\n\n".join(b for _, b in p)
+
+
+def test_comment_containers_inside_the_article(spark):
+    for name in ("comments-area", "comment-list", "user-comments", "post-comments", "comments", "commentlist wide"):
+        page = f'<article><p>Body on code comments.</p><div class="{name}"><p>First!</p><p>I agree</p></div><p class="comment-free">End</p></article>'
+        assert page_text(spark, [(1, page)])[0] == "Body on code comments.\n\nEnd", name
