@@ -27,6 +27,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from urllib.parse import quote
 
@@ -164,13 +165,18 @@ def write_archives(pages: DataFrame, path: str, shard_bytes: int = SHARD_BYTES,
     run = F.sum("n").over(Window.partitionBy("part").orderBy("page_id", "digest").rowsBetween(Window.unboundedPreceding, 0))
     total = narrow.agg(F.sum("n")).first()[0] or 0
     shard = F.floor((F.col("before") + run - F.col("n")) / max(shard_bytes, total / MOST_SHARDS))
+    place = F.struct(F.coalesce(F.col("page_id").cast("long"), F.lit(-1 << 63)).alias("page_id"), "digest")
     lows = (narrow.join(F.broadcast(parts), "part").withColumn("shard", shard)
-            .groupBy("shard").agg(F.min("page_id").alias("low")).orderBy("shard").collect())  # MOST_SHARDS rows at most
-    bounds = np.unique(np.array([r["low"] for r in lows if r["low"] is not None], np.int64))
+            .groupBy("shard").agg(F.min(place).alias("low")).orderBy("shard").collect())  # MOST_SHARDS rows at most
+    bounds = sorted({tuple(r["low"]) for r in lows})
+    ids = np.array([p for p, _ in bounds], np.int64)
 
     @F.pandas_udf("int")
-    def shard_of(page_id: pd.Series) -> pd.Series:
-        at = np.searchsorted(bounds, page_id.fillna(-1 << 63).astype("int64").to_numpy(), side="right") - 1
+    def shard_of(page_id: pd.Series, digest: pd.Series) -> pd.Series:
+        p = page_id.fillna(-1 << 63).astype("int64").to_numpy()
+        at = np.searchsorted(ids, p, side="right") - 1
+        for i in np.flatnonzero(np.searchsorted(ids, p, side="left") <= at):  # rows of a page at which a shard starts
+            at[i] = bisect_right(bounds, (int(p[i]), digest.iat[i])) - 1
         return pd.Series(np.maximum(at, 0).astype(np.int32))
 
     shared = (narrow.where(F.col("n") >= REVISIT_BYTES).groupBy("digest")
@@ -178,8 +184,8 @@ def write_archives(pages: DataFrame, path: str, shard_bytes: int = SHARD_BYTES,
     decisions = (narrow.join(shared, "digest").select("page_id", "digest", F.lit(0).alias("kind"), "first").distinct()
                  .withColumn("url", F.lit(None).cast("string")).withColumn("html", F.lit(None).cast("string")))
     rows = pages.select("page_id", digest.alias("digest"), F.lit(1).alias("kind"), F.lit(None).cast(narrow.schema["page_id"].dataType).alias("first"), "url", "html")
-    dealt = (rows.unionByName(decisions).withColumn("shard", shard_of("page_id"))
-             .repartitionByRange(max(1, len(bounds)), "shard").sortWithinPartitions("shard", "page_id", "digest", "kind", "url"))
+    dealt = (rows.unionByName(decisions).withColumn("shard", shard_of("page_id", "digest"))
+             .repartitionById(max(1, len(bounds)), "shard").sortWithinPartitions("shard", "page_id", "digest", "kind", "url"))
     manifest = staged(dealt.mapInArrow(_write(path, file_bytes), _MANIFEST), "warc-manifest")
     committed = staged(manifest.mapInArrow(_commit(path), _MANIFEST).drop("temporary"), "warc-committed")
     fs, base = pafs.FileSystem.from_uri(path)

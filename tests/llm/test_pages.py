@@ -77,6 +77,18 @@ def test_same_pages_give_the_same_files(spark):
     assert sum(r[1] for r in key(a)) == len(rows) == df.count()
 
 
+def test_a_hot_page_id_is_cut_over_shards(spark):
+    """Half of the pages under one id, a tenth without: shards stay near their size, one task each."""
+    rows = [(7 if i % 2 else None if i % 10 == 0 else i, f"http://a/{i}", f"<p>{i} " + "x" * 1000) for i in range(400)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    path, manifest, back = round_trip(spark, df, shard_bytes=20_000, file_bytes=10**9)
+    per_shard = {}
+    for r in manifest.collect():
+        per_shard[r["file"][5:11]] = per_shard.get(r["file"][5:11], 0) + r["records"]
+    assert len(per_shard) >= 18 and max(per_shard.values()) <= 2 * 400 / 20
+    assert sorted(hashlib.sha256(h.encode()).hexdigest() for _, _, h in rows) == sorted(r["payload_digest"] for r in back)
+
+
 def test_no_pages(spark):
     _, manifest, rows = round_trip(spark, frame(spark, PAGES).limit(0))
     assert rows == [] and manifest.count() == 0
