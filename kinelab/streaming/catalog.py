@@ -17,7 +17,7 @@ from kinelab.plans import catalog as cat
 from kinelab.session import scratch_path
 from kinelab.sources import tables as tb
 from kinelab.sources.telemetry import requests_as_json
-from kinelab.streaming import jobs
+from kinelab.streaming import compaction, jobs
 from kinelab.streaming.alerts import CHANGES, alert_changes
 from kinelab.streaming.late_asof import label_versions, newest_labels
 from kinelab.streaming.newest import keep_newest, newest
@@ -46,6 +46,16 @@ def q_st1_folder_table(spark, d):
     return q_st1_window_mean(spark, root)
 
 
+def q_st1_compacted_sink(spark, d):
+    """ST1 over many batches into a sink whose batch folders are folded as it goes."""
+    root = scratch_path(spark, "st1c")
+    stream = _events_in_parts(spark, d, f"{root}/events", parts=6)
+    _quiet_end(spark, stream, f"{root}/events", DELAY_S + 2 * cat.DAY)
+    means = jobs.window_means(tb.sensor_from_events(stream), cat.DAY, DELAY)
+    jobs.run_foreach(means, compaction.compacting_writer(f"{root}/out", fan=2, grace_s=0), f"{root}/ck")
+    return cat._windows_out(compaction.read_batches(spark, f"{root}/out", means.schema))
+
+
 def q_st2_stream_asof(spark, d):
     root = scratch_path(spark, "st2")
     s = tb.sensor_from_events(_events_stream(spark, d))
@@ -186,6 +196,7 @@ def q_st3_stream_equals_batch(spark, d):
 STREAM_QUERIES = {
     "st1_stream_window_mean": q_st1_window_mean,
     "st1_folder_table": q_st1_folder_table,
+    "st1_compacted_sink": q_st1_compacted_sink,
     "st2_stream_asof": q_st2_stream_asof,
     "st3_stream_scoring": q_st3_stream_scoring,
     "st3_stream_equals_batch": q_st3_stream_equals_batch,
@@ -205,6 +216,7 @@ UNION ALL SELECT job, instance, 'firing', start_s + {2 * cat.HOUR}, start_s, sta
 STREAM_SQL = {
     "st1_stream_window_mean": cat.SQL_WINDOWS.format(w=cat.WIN_A),
     "st1_folder_table": cat.SQL_WINDOWS.format(w=cat.WIN_A),
+    "st1_compacted_sink": cat.SQL_WINDOWS.format(w=cat.WIN_A),
     "st2_stream_asof": cat._asof_sql(cat.WIN_A, cat.READ_A),
     "st3_stream_equals_batch": "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS mismatches FROM events",
     "st4_stream_drift": cat.SQL_PSI,
