@@ -88,7 +88,7 @@ def asof_broadcast(left: DataFrame, right: DataFrame, by: str, left_t: str,
                    right_t: str, values: Sequence[str], tiebreak: str | None = None,
                    bucket_s: float | None = None,
                    max_explode: int = C.ASOF_MAX_EXPLODE,
-                   min_bucket_s: float = C.ASOF_MIN_BUCKET_SECONDS, stats: dict | None = None) -> DataFrame:
+                   min_bucket_s: float = C.ASOF_MIN_BUCKET_SECONDS) -> DataFrame:
     """Plan A. Call only when the right side's size is checked (see ``asof_join``).
 
     Each key gets its own bucket width (its reading span over its reading
@@ -103,7 +103,6 @@ def asof_broadcast(left: DataFrame, right: DataFrame, by: str, left_t: str,
     reading over all levels.
     """
     t_type = common_time(left, left_t, right, right_t)
-    stats = stats or reading_stats(right, by, right_t)
     r = dedupe_readings(right, by, right_t, values, tiebreak, t_type)
     # The right side is bounded by the caller's size check, so these per-key
     # aggregates and windows run over a bounded table.
@@ -113,14 +112,17 @@ def asof_broadcast(left: DataFrame, right: DataFrame, by: str, left_t: str,
     else:
         span = (F.max("_rt").over(wk) - F.min("_rt").over(wk)).cast("double")
         width = F.greatest(F.lit(float(min_bucket_s)), span / F.count(F.lit(1)).over(wk))
-    base, per = float(bucket_s or min_bucket_s), max_explode - 1
+    per = max_explode - 1
     ratio = (F.col("_next") - F.col("_rt")) / F.col("_bw")
     r = (r.withColumn("_next", F.lead("_rt").over(wk.orderBy("_rt")))
          .withColumn("_bw", width)
          .withColumn("_level", F.greatest(F.lit(0), F.ceil(F.log(F.greatest(ratio, F.lit(1.0)) / per) / math.log(max_explode))).cast("int")))
+    # Written once: every level reads this small table instead of deriving it anew.
+    spark, path = left.sparkSession, scratch_path(left.sparkSession, "asof-readings")
+    r.write.parquet(path)
+    r = spark.read.schema(r.schema).parquet(path)
     widths = r.select("_k", "_bw").distinct()
-    longest = float(stats["hi"] - stats["lo"]) / base if stats["n"] else 0.0
-    levels = max(0, math.ceil(math.log(max(longest, 1.0) / per) / math.log(max_explode))) + 1
+    levels = sorted(x["_level"] for x in r.where(F.col("_next").isNotNull()).select("_level").distinct().collect())  # logarithmic in the span
 
     left_cols = left.columns
     lt = F.col(f"_l.{left_t}").cast(t_type)
@@ -128,9 +130,9 @@ def asof_broadcast(left: DataFrame, right: DataFrame, by: str, left_t: str,
     wb = F.broadcast(widths.alias("wb"))
     j = (L.join(wb, F.col("_lk") == F.col("wb._k"), "left")
          .select("_l", "_lk", F.col("wb._bw").alias("_lw"), F.lit(None).cast(r.schema["_r"].dataType).alias("_v")))
-    for level in range(levels + 1):
-        scale = F.lit(float(max_explode ** level))
-        if level < levels:
+    for level in [*levels, None]:
+        if level is not None:
+            scale = F.lit(float(max_explode ** level))
             part = (r.where(F.col("_next").isNotNull() & (F.col("_level") == level))
                     .select("_k", F.explode(F.sequence(F.floor(F.col("_rt") / (F.col("_bw") * scale)),
                                                        F.floor(F.col("_next") / (F.col("_bw") * scale)))).alias("_b"), "_rt", "_next", "_r"))
@@ -285,7 +287,7 @@ def asof_join(left: DataFrame, right: DataFrame, by: str, left_t: str, right_t:
         plan = chosen
     if plan == "broadcast":  # per-key widths unless bucket_s is given
         return asof_broadcast(left, right, by, left_t, right_t, values, tiebreak,
-                              bucket_s, max_explode, stats=stats)
+                              bucket_s, max_explode)
     if plan == "union":
         return asof_union(left, right, by, left_t, right_t, values, tiebreak)
     if plan == "bucketed":

@@ -83,7 +83,7 @@ def test_auto_uses_broadcast_when_small(spark):
 
 def test_broadcast_plan_keeps_left_unshuffled(spark):
     l = spark.createDataFrame([("A", 5, 1.0)], LEFT)
-    r = spark.createDataFrame([("A", 1, 0.1, 0)], RIGHT)
+    r = spark.createDataFrame([("A", 1, 0.1, 0), ("A", 3, 0.1, 0)], RIGHT)  # an interval (one level) and an open end
     out = asof_join(l, r, "pid", "t", "ts", ["v"], tiebreak="tb", plan="broadcast")
     lines = out._jdf.queryExecution().executedPlan().toString().splitlines()
     left_scan = [i for i, ln in enumerate(lines) if "Scan ExistingRDD[pid" in ln and "t#" in ln]
@@ -144,3 +144,14 @@ def test_forced_broadcast_over_bound_falls_back(spark, caplog):
                         broadcast_max_rows=8)
     assert any("bucketed plan" in rec.getMessage() for rec in caplog.records)
     assert sorted((row.t, row.v) for row in out.collect()) == [(5, 4.0), (50, 36.0)]
+
+
+def test_broadcast_plan_reads_the_written_readings_and_only_levels_that_occur(spark):
+    """A burst and a long gap: two levels, no aggregate or window left in the plan of the join."""
+    from kinelab.operators.asof import asof_broadcast
+    readings = spark.createDataFrame([("a", 10 * i, float(i)) for i in range(50)] + [("a", 10**8, 1.0)], "pid string, t long, v double")
+    left = spark.createDataFrame([("a", 5), ("a", 495), ("a", 10**7), ("a", 10**8 + 1), ("b", 1), (None, 1)], "pid string, at long")
+    out = asof_broadcast(left, readings, "pid", "at", "t", ["v"], min_bucket_s=10)
+    assert sorted((r["pid"] or "", r["at"], r["v"]) for r in out.collect()) == [("", 1, None), ("a", 5, 0.0), ("a", 495, 49.0), ("a", 10**7, 49.0), ("a", 10**8 + 1, 1.0), ("b", 1, None)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("Join") <= 4  # widths, two levels, open ends
