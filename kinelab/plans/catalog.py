@@ -861,9 +861,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a11_reload_count": q_a11_reload_count,
     "a12_error_rate": q_a12_error_rate,
     "a13_sustained_errors": q_a13_sustained,
-    "a12_counter_rates": q_a12_counter_rates,
-    "a12_counter_error_rates": q_a12_counter_error_rates,
-    "a13_counter_alert": q_a13_counter_alert,
+    "counter_rates_a12": q_a12_counter_rates,
+    "counter_error_rates_a12": q_a12_counter_error_rates,
+    "counter_alert_a13": q_a13_counter_alert,
     "s12_metrics_table": q_s12_metrics_table,
     "f7_f8_file_keys": q_f7_f8_file_keys,
     "t1_sorted_readings": q_t1_sorted_readings,
@@ -930,9 +930,9 @@ SQL: dict[str, str] = {
     "a11_reload_count": SQL_A11,
     "a12_error_rate": SQL_A12,
     "a13_sustained_errors": SQL_A13,
-    "a12_counter_rates": f"SELECT job, instance, code, t_s, n, round(rate, 6) AS rate FROM ({COUNTER_RATES})",
-    "a12_counter_error_rates": f"SELECT job, instance, window_start_s, round(rate, 6) AS rate FROM ({COUNTER_ERRORS})",
-    "a13_counter_alert": SQL_A13_COUNTERS,
+    "counter_rates_a12": f"SELECT job, instance, code, t_s, n, round(rate, 6) AS rate FROM ({COUNTER_RATES})",
+    "counter_error_rates_a12": f"SELECT job, instance, window_start_s, round(rate, 6) AS rate FROM ({COUNTER_ERRORS})",
+    "counter_alert_a13": SQL_A13_COUNTERS,
     "s12_metrics_table": SQL_S12,
     "f7_f8_file_keys": SQL_F7,
     "t1_sorted_readings": SQL_T1,

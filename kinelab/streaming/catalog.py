@@ -196,7 +196,7 @@ def q_st3_stream_equals_batch(spark, d):
 STREAM_QUERIES = {
     "st1_stream_window_mean": q_st1_window_mean,
     "st1_folder_table": q_st1_folder_table,
-    "st1_compacted_sink": q_st1_compacted_sink,
+    "a1_compacted_sink": q_st1_compacted_sink,
     "st2_stream_asof": q_st2_stream_asof,
     "st3_stream_scoring": q_st3_stream_scoring,
     "st3_stream_equals_batch": q_st3_stream_equals_batch,
@@ -204,10 +204,10 @@ STREAM_QUERIES = {
     "st5_stream_pred_counts": q_st5_stream_pred_counts,
     "st5_stream_latency_histogram": q_st5_stream_latency_histogram,
     "st6_stream_error_rate": q_st6_stream_error_rate,
-    "a13_stream_alert": q_a13_stream_alert,
-    "st2_late_readings": q_st2_late_readings,
-    "st4_state_latest": q_st4_state_latest,
-    "st4_state_drift": q_st4_state_drift,
+    "alert_stream_a13": q_a13_stream_alert,
+    "j1_late_readings": q_st2_late_readings,
+    "t3_state_latest": q_st4_state_latest,
+    "a5_state_drift": q_st4_state_drift,
 }
 
 SQL_A13_STREAM = f"""SELECT job, instance, 'resolved' AS state, end_s AS at_s, start_s, end_s, n_windows FROM ({cat.SQL_A13})
@@ -216,15 +216,15 @@ UNION ALL SELECT job, instance, 'firing', start_s + {2 * cat.HOUR}, start_s, sta
 STREAM_SQL = {
     "st1_stream_window_mean": cat.SQL_WINDOWS.format(w=cat.WIN_A),
     "st1_folder_table": cat.SQL_WINDOWS.format(w=cat.WIN_A),
-    "st1_compacted_sink": cat.SQL_WINDOWS.format(w=cat.WIN_A),
+    "a1_compacted_sink": cat.SQL_WINDOWS.format(w=cat.WIN_A),
     "st2_stream_asof": cat._asof_sql(cat.WIN_A, cat.READ_A),
     "st3_stream_equals_batch": "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS mismatches FROM events",
     "st4_stream_drift": cat.SQL_PSI,
     "st5_stream_pred_counts": cat.SQL_A9,
     "st5_stream_latency_histogram": cat.SQL_A10,
     "st6_stream_error_rate": cat.SQL_A12,
-    "a13_stream_alert": SQL_A13_STREAM,
-    "st2_late_readings": cat._asof_sql(cat.WIN_A, cat.READ_A),
-    "st4_state_latest": cat.SQL["t3_latest_n"],
-    "st4_state_drift": cat.SQL_PSI,
+    "alert_stream_a13": SQL_A13_STREAM,
+    "j1_late_readings": cat._asof_sql(cat.WIN_A, cat.READ_A),
+    "t3_state_latest": cat.SQL["t3_latest_n"],
+    "a5_state_drift": cat.SQL_PSI,
 }

@@ -75,16 +75,25 @@ def open_rows(samples: DataFrame, size_s: int, delay_s: int, event_time: str = "
     return samples.where(F.col(event_time) >= F.timestamp_seconds(F.lit(start or 0)))
 
 
+#: The state store for arbitrary keyed state: changes are logged per batch, snapshots come now and then, few versions stay.
+KEYED_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.minBatchesToRetain": "10",
+}
+
+
 @contextmanager
 def keyed_state(spark: SparkSession) -> Iterator[None]:
     """The state store that arbitrary keyed state needs, for the streams started inside."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    old = {k: spark.conf.get(k, None) for k in KEYED_STATE}
+    for k, v in KEYED_STATE.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, old)
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def run_foreach(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
