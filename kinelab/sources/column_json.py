@@ -19,6 +19,7 @@ labels of different documents stay apart.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -124,7 +125,8 @@ class _split_size:
 def write_column_document(log: DataFrame, path: str, row_id: str, columns: Mapping[str, str] | None = None) -> None:
     """The whole log as one document in one file: columns one after another, rows by the unique whole number ``row_id``.
 
-    A single file has a single writer, which streams the sorted entries.
+    The entries are sorted by many tasks into a file for each range. A single file has a single writer,
+    which streams these in order and sorts nothing.
     """
     names = list(columns or LOG_COLUMNS)
     rid, last = F.col(row_id), len(names) - 1
@@ -137,6 +139,10 @@ def write_column_document(log: DataFrame, path: str, row_id: str, columns: Mappi
     entries = log.select(rid.alias("rid"), F.posexplode(F.array(*[F.struct(F.lit(c).alias("c"), as_json(c).alias("v")) for c in names])).alias("i", "x"))
     head = F.when(F.col("rid") == lo, F.concat(F.when(F.col("i") == 0, "{").otherwise(""), F.lit('"'), F.col("x.c"), F.lit('":{'))).otherwise("")
     tail = F.when(F.col("rid") < hi, ",").when(F.col("i") < last, "},").otherwise("}}")
-    (entries.orderBy("i", "rid").coalesce(1)
+    spark = log.sparkSession
+    ranges = scratch_path(spark, "column-entries")
+    (entries.orderBy("i", "rid")
      .select(F.concat(head, F.lit('"'), F.col("rid").cast("string"), F.lit('":'), F.col("x.v"), tail).alias("value"))
-     .write.text(path))
+     .write.text(ranges))
+    in_order = [spark.read.text(f) for f in sorted(spark.read.text(ranges).inputFiles())]
+    reduce(DataFrame.union, in_order).coalesce(1).write.text(path)

@@ -5,6 +5,7 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from kinelab import config as C
 from kinelab.sources import column_json, telemetry
@@ -80,3 +81,17 @@ def test_an_empty_document(spark, scratch):
     write_column_document(spark.range(0).selectExpr("id", "id as timestamp", "true as is_intoxicated"), path, "id")
     parsed = parse_column_documents(spark, path)
     assert parsed.rows.count() == parsed.rejected.count() == 0
+
+
+def test_single_writer_sorts_nothing(spark, scratch, monkeypatch):
+    """The ranges of a document are sorted by many tasks; the task that writes it streams them in order."""
+    from pyspark.sql.classic.dataframe import DataFrame
+    plans, coalesce = [], DataFrame.coalesce
+    monkeypatch.setattr(DataFrame, "coalesce", lambda df, n: plans.append(df._jdf.queryExecution().toString()) or coalesce(df, n))
+    log = spark.range(3_000).repartition(5).select(F.col("id").alias("event_id"), (F.col("id") * 7).alias("timestamp"), (F.col("id") % 2 == 0).alias("is_intoxicated"))
+    path = scratch("ordered")
+    write_column_document(log, path, "event_id")
+    assert plans and not any("Sort" in p for p in plans)
+    text = "".join(r["value"] for f in [spark.read.text(path)] for r in f.collect())
+    assert json.loads(text) == {"timestamp": {str(i): 7 * i for i in range(3_000)}, "is_intoxicated": {str(i): i % 2 == 0 for i in range(3_000)}}
+    assert [int(k) for k in json.loads(text)["timestamp"]] == list(range(3_000))
