@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from kinelab import config as C
 from kinelab.operators import model
 
 
@@ -66,3 +67,18 @@ def test_training_frame_drops_key_reading_and_null_labels(spark):
     out = model.training_frame(df)
     assert out.columns == ["time", "x", "y", "z", "energy", "magnitude", "label"]
     assert out.count() == 1
+
+
+def test_fits_bound_the_rows_of_a_task(spark, scratch, monkeypatch):
+    """A reader packs a small training table into one task per core; MLlib keeps much more of each row than the file does."""
+    from pyspark.ml import Pipeline
+    seen, fit = [], Pipeline.fit
+    monkeypatch.setattr(model, "FIT_ROWS", 40, raising=False)
+    monkeypatch.setattr(Pipeline, "fit", lambda self, df: seen.append(df.rdd.getNumPartitions()) or fit(self, df))
+    path = scratch("fit-rows")
+    (spark.range(400).select(*[((F.col("id") * (i + 3)) % 17).cast("double").alias(c) for i, c in enumerate(C.FEATURE_ORDER)],
+                             (F.col("id") % 3 == 0).cast("double").alias("label"), (F.col("id") % 2).cast("int").alias("fold")).write.parquet(path))
+    table = spark.read.parquet(path)
+    model.fit_forest(table.drop("fold"), num_trees=2, max_depth=2)
+    model.fit_folds(table, 2, num_trees=2, max_depth=2)
+    assert seen == [10, 10, 10]
