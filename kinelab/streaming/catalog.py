@@ -122,14 +122,26 @@ def q_st6_stream_error_rate(spark, d):
     return out.select("job", "instance", "window_start_s", "errors", cat.r6("rate").alias("rate"))
 
 
+#: Rows of one file of a part.
+PART_FILE_ROWS = 1_000_000
+
+
 def _events_in_parts(spark, d, path: str, parts: int = 4, backwards: bool = False) -> DataFrame:
-    """The events as files that arrive one after another in time order (or the newest first), and a stream of them, one file per batch."""
+    """The events as parts that arrive one after another in time order (or the newest first), and a stream of them, one part per batch.
+
+    Each part is the same number of files, so that a batch is a part however large it is: files of one part
+    have rows of its whole time, and would come too late after one another.
+    """
     ev = tb.table(spark, d, "events")
-    lo, hi = ev.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
+    lo, hi, rows = ev.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp"))),
+                          F.count(F.lit(1))).first()
     part = F.least(F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(lo or 0)) * parts / F.lit((hi or 0) - (lo or 0) + 1)), F.lit(parts - 1))
-    for i in reversed(range(parts)) if backwards else range(parts):
-        ev.where(part == i).write.mode("append").parquet(path)
-    return spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    files = max(1, -(-rows // (parts * PART_FILE_ROWS)))
+    for k, i in enumerate(reversed(range(parts)) if backwards else range(parts), 1):
+        ev.where(part == i).repartition(files).write.mode("append").parquet(path)
+        for _ in range(len(spark.read.schema(ev.schema).parquet(path).inputFiles()), k * files):  # a part of few rows has empty files
+            ev.limit(0).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def _quiet_end(spark, stream: DataFrame, path: str, after_s: int) -> None:

@@ -51,3 +51,17 @@ def test_drift_state_over_many_batches_equals_batch(spark, scratch):
     want = drift.psi(counts, drift.latest_n(tb.scored_log(spark, SF), 3)).first().psi
     assert abs(last - want) < 1e-12
     assert spark.read.parquet(f"{root}/log").count() == ev.count()
+
+
+def test_parts_of_several_files_arrive_as_one_batch(spark, scratch, monkeypatch):
+    from pyspark.sql import functions as F
+    from kinelab.streaming import catalog
+    monkeypatch.setattr(catalog, "PART_FILE_ROWS", 40, raising=False)
+    root = scratch("parts")
+    (spark.range(600).select(F.col("id").alias("event_id"), F.timestamp_seconds(F.when(F.col("id") < 3, 100_000).otherwise(F.col("id") * 37 % 600 * 60)).alias("ts"))
+     .repartition(3).write.parquet(f"{root}/events.parquet"))
+    stream, batches = catalog._events_in_parts(spark, root, f"{root}/in"), []
+    jobs.run_foreach(stream, lambda b, i: batches.append(tuple(b.agg(F.count("ts"), F.unix_seconds(F.min("ts")), F.unix_seconds(F.max("ts"))).first())), f"{root}/ck")
+    assert len(batches) == 4 and sum(n for n, *_ in batches) == 600
+    full = [(lo, hi) for n, lo, hi in batches if n]
+    assert all(a[1] < b[0] for a, b in zip(full, full[1:]))
