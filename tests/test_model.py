@@ -82,3 +82,19 @@ def test_fits_bound_the_rows_of_a_task(spark, scratch, monkeypatch):
     model.fit_forest(table.drop("fold"), num_trees=2, max_depth=2)
     model.fit_folds(table, 2, num_trees=2, max_depth=2)
     assert seen == [10, 10, 10]
+
+
+def test_folds_start_from_written_features(spark, scratch, monkeypatch):
+    """Fold assignment reads its input several times; the as-of join behind it runs once."""
+    from kinelab.operators import folds
+    from kinelab.plans import ml_catalog
+    d, seen, assign = scratch("tables"), [], folds.stratified_folds
+    spark.range(600).selectExpr("id as event_id", "cast(timestamp_seconds(1704067200 + id * 3600) as timestamp_ntz) as ts", "id % 7 as user_id",
+                                "if(id % 3 = 0, 'purchase', 'view') as event_type", "double(id % 90) as value",
+                                "concat('{\"k\": ', id % 50, '}') as props").write.parquet(f"{d}/events.parquet")
+    monkeypatch.setattr(folds, "stratified_folds", lambda df, **kw: seen.append(df) or assign(df, **kw))
+    train = ml_catalog.training_table(spark, d)
+    assert "Join" not in seen[0]._jdf.queryExecution().executedPlan().toString()
+    labelled = seen[0].where(F.col(C.LABEL).isNotNull())
+    assert train.count() == labelled.count() > 100
+    assert {r["fold"] for r in train.select("fold").distinct().collect()} == set(range(C.NUM_FOLDS))
