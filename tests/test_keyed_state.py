@@ -122,3 +122,33 @@ def test_what_is_too_old_is_forgotten(spark, scratch):
     out = versions_of(spark, scratch("old"), windows, readings, 500)
     got = sorted((r["window_start_s"], r["version"], r["TAC_Reading"]) for r in out.collect())
     assert got == [(0, 0, None), (1000, 0, 0.1), (2000, 0, 0.2), (2000, 1, 0.3)]
+
+
+def test_keys_of_a_bucket_stay_apart_over_segments(spark, scratch):
+    """Many keys in few buckets, readings of one time whose tie-breaks only whole numbers tell apart, times far apart."""
+    from kinelab.streaming.late_asof import SEGMENT_S, label_versions, newest_labels
+    far, big = 3 * SEGMENT_S, 2**60
+    keys = [f"p{i}" for i in range(20)]
+    windows = [[(p, far * j + 10 * i, float(i), None, 1.0) for i, p in enumerate(keys)] for j in range(3)]
+    readings = [[(p, far + 5, 0.5, 1) for p in keys[::2]], [(p, t, 0.1 + i % 3, big + k) for i, p in enumerate(keys) for k, t in enumerate((3, 3, far + 5))],
+                [(p, 3, 0.01, big + 2) for p in keys[:5]] + [(p, 2 * far, 0.7, None) for p in keys[5:7]]]
+    out = {}
+    for buckets in (2, 64):
+        root = scratch("buckets")
+        w, r = files(spark, f"{root}/w", windows, WINDOWS), files(spark, f"{root}/r", readings, READINGS)
+        with jobs.keyed_state(spark):
+            versions = label_versions(w, r, 10**9, buckets=buckets)
+            jobs.run_available(versions, f"{root}/out", f"{root}/ck")
+        out[buckets] = spark.read.schema(versions.schema).parquet(f"{root}/out")
+    rows = {b: sorted(map(tuple, df.collect()), key=str) for b, df in out.items()}
+    assert rows[2] == rows[64]
+    best = {}
+    for p, t, v, tie in sum(readings, []):
+        if (p, t) not in best or (tie or 0) > best[p, t][0]:
+            best[p, t] = (tie or 0, v)
+    want = []
+    for p, at, x, y, z in sum(windows, []):
+        times = [t for q, t in best if q == p and t <= at]
+        want.append((p, at, x, y, z, best[p, max(times)][1] if times else None))
+    assert sorted(map(tuple, newest_labels(out[2]).collect()), key=str) == sorted(want, key=str)
+    assert out[2].where("version > 0").count() > 0
